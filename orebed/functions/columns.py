@@ -64,13 +64,29 @@ def zscore(c: Column, mean: float, std: float) -> Column:
     return (c - F.lit(float(mean))) / F.lit(float(std) if std and std > 0 else 1.0)
 
 
-def squared_distance(cols: Sequence[Column], center: Sequence) -> Column:
-    """Sum of squared differences to a constant or column-valued center."""
-    total = F.lit(0.0)
-    for c, x in zip(cols, center):
-        x = x if isinstance(x, Column) else F.lit(float(x))
-        total = total + (c - x) * (c - x)
-    return total
+# Expressions of many terms are written as SQL text: one call builds the whole
+# tree, where column operators would cross into the JVM once per term.
+
+
+def number(x: float) -> str:
+    """SQL double literal that keeps every digit."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def squared_distance_sql(a: Sequence[str], b: Sequence[str]) -> str:
+    """Sum of squared differences of paired SQL terms."""
+    return "(" + " + ".join(f"({x} - {y}) * ({x} - {y})" for x, y in zip(a, b)) + ")"
+
+
+def linear_sql(terms: Sequence[str], weights: Sequence[float], offsets: Sequence[float]) -> str:
+    """Weighted sum of terms after subtracting an offset from each."""
+    return "(" + " + ".join(
+        f"({t} - {number(o)}) * {number(w)}" for t, w, o in zip(terms, weights, offsets)
+    ) + ")"
 
 
 def sampling_hash(key: Column | Sequence[Column], seed: int) -> Column:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orebed.functions.columns import zscore
+from orebed.functions.columns import number, quoted, zscore
 from orebed.functions.orderstats import exact_quantile, exact_quantiles, order_statistics
 from orebed.functions.stats import chi2_quantile
 from orebed.operators.columns import moments
@@ -81,13 +81,14 @@ def mahalanobis(
     means, cov, _ = covariance(df, cols)
     scale = np.sqrt(np.where(np.diag(cov) > 0, np.diag(cov), 1.0))
     inverse = np.linalg.pinv(cov / np.outer(scale, scale), hermitian=True)
-    z = [(F.col(c) - float(m)) / float(s) for c, m, s in zip(cols, means, scale)]
-    total = F.lit(0.0)
-    for i in range(len(cols)):
-        inner = float(inverse[i, i]) * z[i]
-        for j in range(i + 1, len(cols)):
-            inner = inner + float(2 * inverse[i, j]) * z[j]
-        total = total + z[i] * inner
+    z = [f"(({quoted(c)} - {number(m)}) / {number(s)})" for c, m, s in zip(cols, means, scale)]
+    # symmetric form: each off-diagonal term once, with twice its weight
+    weights = np.triu(2 * inverse, 1) + np.diag(np.diag(inverse))
+    form = " + ".join(
+        f"{z[i]} * (" + " + ".join(f"{z[j]} * {number(weights[i, j])}" for j in range(i, len(cols))) + ")"
+        for i in range(len(cols))
+    )
+    total = F.expr(form)
     return df.withColumn(out, total).withColumn(flag, _false(F.col(out) > chi2_quantile(q, len(cols))))
 
 

@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orebed.functions.columns import squared_distance
+from orebed.functions.columns import number, quoted, squared_distance_sql
 from orebed.functions.stats import pairs_of
 from orebed.operators.ranking import winner_by
 from orebed.operators.sampling import sample_exact
@@ -52,15 +52,14 @@ def kmeans_fit(
 
 def assign_nearest(df: DataFrame, centers: Centers, out: str = "cluster", distance: str | None = None) -> DataFrame:
     """Label of the nearest center, the smallest label on ties; one projection, no join."""
-    cols = [F.col(c).cast("double") for c in centers.cols]
-    best = F.array_min(F.array(*[
-        F.struct(squared_distance(cols, p).alias("d"), F.lit(i).alias("i"))
+    cols = [f"CAST({quoted(c)} AS DOUBLE)" for c in centers.cols]
+    ranked = ", ".join(
+        f"named_struct('d', {squared_distance_sql(cols, [number(x) for x in p])}, 'i', {i})"
         for i, p in enumerate(centers.points)
-    ]))
-    df = df.withColumn("_best", best).withColumn(out, F.col("_best.i"))
-    if distance:
-        df = df.withColumn(distance, F.col("_best.d"))
-    return df.drop("_best")
+    )
+    df = df.withColumn("_best", F.expr(f"array_min(array({ranked}))"))
+    found = {out: F.col("_best.i"), **({distance: F.col("_best.d")} if distance else {})}
+    return df.withColumns(found).drop("_best")
 
 
 def inertia(df: DataFrame, centers: Centers) -> DataFrame:

@@ -155,7 +155,8 @@ def dominant_shares(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     grouped by value. Shares of one half and below come out as a lower bound.
     """
     cols = list(cols)
-    hashed = {c: F.when(F.col(c).isNotNull(), F.xxhash64(c)) for c in cols}
+    # 52 bits, because the sketch computes in doubles
+    hashed = {c: F.when(F.col(c).isNotNull(), F.pmod(F.xxhash64(c), F.lit(2**52))) for c in cols}
     medians = aggregate_row(df, [F.percentile_approx(hashed[c], 0.5) for c in cols])
     shares = aggregate_row(df, [
         F.greatest(
@@ -262,7 +263,7 @@ def format_metric(df: DataFrame, col: str, digits: int = 3, missing: str = "N/A"
     """Value with nulls as 0 for plotting, and a text label with nulls as ``missing``."""
     return df.withColumns({
         f"{col}_plot": F.coalesce(F.col(col), F.lit(0.0)),
-        f"{col}_label": F.coalesce(F.format_string(f"%.{digits}f", F.col(col)), F.lit(missing)),
+        f"{col}_label": F.coalesce(F.replace(F.format_number(col, digits), F.lit(","), F.lit("")), F.lit(missing)),
     })
 
 

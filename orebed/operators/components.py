@@ -33,7 +33,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             .groupBy("id").agg(F.min("offer").alias("offer"))
         )
         lowered = labels.join(offers, "id", "left").select("id", F.least("label", "offer").alias("label"))
-        lowered = cut_lineage(lowered)
         parents = lowered.select(F.col("id").alias("label"), F.col("label").alias("root"))
         after = cut_lineage(lowered.join(parents, "label").select("id", F.col("root").alias("label")))
         changed = after.join(labels.withColumnRenamed("label", "old"), "id").where("label <> old").limit(1).count()

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orebed.functions.columns import quoted
 from orebed.functions.orderstats import aggregate_row
 
 EXPRESSION_PAIRS = 200  # pairs computed as plain aggregates in one pass
@@ -51,7 +52,9 @@ def pair_correlations(df: DataFrame, cols: Sequence[str]) -> list[tuple[str, str
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if len(pairs) <= EXPRESSION_PAIRS:
-        vals = aggregate_row(df, [F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")) for i, j in pairs])
+        vals = aggregate_row(df, [
+            F.expr(f"corr(CAST({quoted(cols[i])} AS DOUBLE), CAST({quoted(cols[j])} AS DOUBLE))") for i, j in pairs
+        ])
         return [
             (cols[i], cols[j], None if r is None or np.isnan(r) else r) for (i, j), r in zip(pairs, vals)
         ]
@@ -98,7 +101,7 @@ def covariance(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarr
         pairs = [(i, j) for i in range(p) for j in range(i, p)]
         vals = aggregate_row(
             clean, [F.count(F.lit(1))] + [F.avg(c) for c in cols]
-            + [F.covar_samp(cols[i], cols[j]) for i, j in pairs]
+            + [F.expr(f"covar_samp({quoted(cols[i])}, {quoted(cols[j])})") for i, j in pairs]
         )
         n, means, covs = vals[0], np.array(vals[1 : p + 1], dtype=float), vals[p + 1 :]
         out = np.zeros((p, p))

@@ -13,18 +13,17 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebed.functions.columns import squared_distance
+from orebed.functions.columns import number, squared_distance_sql
 from orebed.functions.orderstats import aggregate_row
 from orebed.operators.clustering import silhouette_exact
 from orebed.operators.columns import distinct_ranks
 from orebed.operators.components import connected_components
 from orebed.operators.neighbors import (
-    box_columns, distinct_points, k_distance_knee, k_distance_points, point_box_distance,
+    box_columns, cell_offsets, distinct_points, k_distance_knee, k_distance_points, offset_rows, point_box_sql,
 )
 from orebed.session import cut_lineage
 
@@ -33,33 +32,25 @@ COMPARED_PAIRS = 4_096  # point pairs compared directly for one pair of boxes
 MAX_SPLITS = 50
 
 
-def _coords(dims: int, name: str = "x") -> list[Column]:
-    return [F.col(f"{name}{i}") for i in range(dims)]
+def _names(prefix: str, dims: int) -> list[str]:
+    return [f"{prefix}{i}" for i in range(dims)]
 
 
 def _around(table: DataFrame, dims: int, half: bool = False) -> DataFrame:
-    """Copies of each row for the cells within reach of its own (without its own)."""
-    reach = math.ceil(math.sqrt(dims))
-    offsets = [o for o in product(range(-reach, reach + 1), repeat=dims) if any(o)]
-    if half:
-        offsets = [o for o in offsets if o > tuple([0] * dims)]
-    cells = F.array(*[
-        F.struct(*[(F.col(f"c{i}") + o[i]).alias(f"n{i}") for i in range(dims)]) for o in offsets
-    ])
-    return table.withColumn("_n", F.explode(cells)).select(
-        *table.columns, *[F.col(f"_n.n{i}").alias(f"n{i}") for i in range(dims)]
-    )
+    """Copies of each row for the cells within reach of its own cell c0.., named n0.."""
+    offsets = cell_offsets(dims, skip_own=True, half=half)
+    return table.selectExpr("*", offset_rows(dims, offsets, "c", "n"))
+
 
+def _box_gap(dims: int) -> tuple[str, str]:
+    """Squared smallest and largest distance between boxes alo/ahi and blo/bhi."""
+    gap = [f"greatest(blo{i} - ahi{i}, alo{i} - bhi{i}, 0D)" for i in range(dims)]
+    reach = [f"greatest(abs(ahi{i} - blo{i}), abs(bhi{i} - alo{i}))" for i in range(dims)]
+    return tuple("(" + " + ".join(f"{t} * {t}" for t in terms) + ")" for terms in (gap, reach))
 
-def _box_gap(dims: int, a: str, b: str) -> tuple[Column, Column]:
-    """Squared smallest and largest distance between two boxes."""
-    near = far = F.lit(0.0)
-    for i in range(dims):
-        alo, ahi, blo, bhi = (F.col(f"{s}{e}{i}") for s in (a, b) for e in ("lo", "hi"))
-        gap = F.greatest(blo - ahi, alo - bhi, F.lit(0.0))
-        reach = F.greatest(F.abs(ahi - blo), F.abs(bhi - alo))
-        near, far = near + gap * gap, far + reach * reach
-    return near, far
+
+def _within(dims: int, r2: float) -> str:
+    return f"{squared_distance_sql(_names('x', dims), _names('y', dims))} <= {number(r2)}"
 
 
 def _near_boxes(points: DataFrame, boxes: DataFrame, dims: int, r2: float) -> DataFrame:
@@ -67,21 +58,18 @@ def _near_boxes(points: DataFrame, boxes: DataFrame, dims: int, r2: float) -> Da
 
     ``whole`` tells that every place of the box is within the radius.
     """
-    near, far = point_box_distance(
-        _coords(dims), [F.col(f"lo{i}") for i in range(dims)], [F.col(f"hi{i}") for i in range(dims)]
-    )
-    named = boxes.select(*[F.col(f"c{i}").alias(f"n{i}") for i in range(dims)],
-                         *[c for c in boxes.columns if c not in {f"c{i}" for i in range(dims)}])
+    near, far = point_box_sql(dims)
+    named = boxes.withColumnsRenamed({f"c{i}": f"n{i}" for i in range(dims)})
     return (
-        _around(points, dims).join(named, [f"n{i}" for i in range(dims)])
-        .where(near <= r2).withColumn("whole", far <= r2)
-        .drop(*[f"{e}{i}" for i in range(dims) for e in ("lo", "hi")])
+        _around(points, dims).join(named, _names("n", dims)).where(f"{near} <= {number(r2)}")
+        .withColumn("whole", F.expr(f"{far} <= {number(r2)}"))
+        .drop(*_names("lo", dims), *_names("hi", dims))
     )
 
 
 def core_points(grid: DataFrame, dims: int, eps: float, min_samples: int) -> DataFrame:
     """Grid points with ``is_core``: at least ``min_samples`` rows within the radius, itself counted."""
-    cell = [f"c{i}" for i in range(dims)]
+    cell = _names("c", dims)
     cells = cut_lineage(grid.groupBy(*cell).agg(F.sum("w").alias("cw"), *box_columns(dims)))
     full = cells.where(F.col("cw") >= min_samples).select(*cell)
     dense = grid.join(full, cell, "left_semi").withColumn("is_core", F.lit(True))
@@ -90,11 +78,9 @@ def core_points(grid: DataFrame, dims: int, eps: float, min_samples: int) -> Dat
     reachable = cut_lineage(_near_boxes(sparse.drop("w"), cells, dims, r2))
     sure = reachable.where("whole").groupBy("pid").agg(F.sum("cw").alias("rows"))
     # undecided boxes: compare with the points of the box
-    other = grid.select(*[F.col(f"c{i}").alias(f"n{i}") for i in range(dims)],
-                        *[F.col(f"x{i}").alias(f"y{i}") for i in range(dims)], F.col("w").alias("ow"))
+    other = grid.selectExpr(*[f"c{i} AS n{i}" for i in range(dims)], *[f"x{i} AS y{i}" for i in range(dims)], "w AS ow")
     compared = (
-        reachable.where("not whole").join(other, [f"n{i}" for i in range(dims)])
-        .where(squared_distance(_coords(dims), _coords(dims, "y")) <= r2)
+        reachable.where("not whole").join(other, _names("n", dims)).where(_within(dims, r2))
         .groupBy("pid").agg(F.sum("ow").alias("rows"))
     )
     around = sure.unionByName(compared).groupBy("pid").agg(F.sum("rows").alias("around"))
@@ -104,89 +90,72 @@ def core_points(grid: DataFrame, dims: int, eps: float, min_samples: int) -> Dat
     return dense.unionByName(counted.select(*dense.columns))
 
 
-def _split_boxes(points: DataFrame, dims: int, level: int, side: float, lows: Sequence[float]) -> DataFrame:
-    """Tight boxes of the 2^level-fold subdivision of every cell."""
-    step = side / 2**level
-    sub = {
-        f"s{i}": (F.floor((F.col(f"x{i}") - lows[i]) / step) - F.col(f"c{i}") * 2**level).cast("bigint")
-        for i in range(dims)
-    }
-    return points.withColumns(sub).groupBy("cid", *sub).agg(F.count(F.lit(1)).alias("n"), *box_columns(dims))
-
-
 def _linked_cells(core: DataFrame, dims: int, eps: float, side: float, lows: Sequence[float]) -> tuple[DataFrame, DataFrame]:
-    """Core cells (id = smallest core key) and the pairs joined by a core pair within the radius."""
-    cell = [f"c{i}" for i in range(dims)]
-    r2 = eps * eps
+    """Core cells (cid = smallest core key) and the pairs joined by a core pair within the radius."""
+    axes = range(dims)
+    cell, subs, ups = _names("c", dims), _names("s", dims), _names("p", dims)
+    boxes = [f"{e}{i}" for i in axes for e in ("lo", "hi")]
+    r2 = number(eps * eps)
     cells = cut_lineage(core.groupBy(*cell).agg(F.min("pid").alias("cid"), F.count(F.lit(1)).alias("n"), *box_columns(dims)))
 
-    def side_of(table: DataFrame, s: str, keys: Sequence[str] = ()) -> DataFrame:
-        boxes = [f"{e}{i}" for i in range(dims) for e in ("lo", "hi")]
-        return table.select(F.col("cid").alias(s), F.col("n").alias(f"{s}n"),
-                            *[F.col(k).alias(f"{s}{k}") for k in [*boxes, *keys]])
+    def as_side(table: DataFrame, s: str, keys: Sequence[str]) -> DataFrame:
+        return table.selectExpr(f"cid AS {s}", f"n AS {s}n", *[f"{c} AS {s}{c}" for c in boxes], *keys)
 
-    right = side_of(cells, "b", cell).withColumnsRenamed({f"bc{i}": f"n{i}" for i in range(dims)})
-    left = _around(side_of(cells, "a", cell).withColumnsRenamed({f"ac{i}": f"c{i}" for i in range(dims)}), dims, half=True)
-    near, far = _box_gap(dims, "a", "b")
+    left = _around(as_side(cells, "a", cell), dims, half=True)
+    right = as_side(cells, "b", [f"c{i} AS n{i}" for i in axes])
+    near, far = _box_gap(dims)
     pairs = cut_lineage(
-        left.join(right, [f"n{i}" for i in range(dims)]).where(near <= r2)
-        .select("a", "b", "an", "bn", (far <= r2).alias("linked"))
+        left.join(right, _names("n", dims)).where(f"{near} <= {r2}")
+        .selectExpr("a", "b", "an", "bn", f"{far} <= {r2} AS linked")
     )
-    edges = [pairs.where("linked").select("a", "b")]
-    open_ = pairs.where("not linked")
-    small = open_.where(F.col("an") * F.col("bn") <= COMPARED_PAIRS).select("a", "b")
-    by_cell = cut_lineage(core.join(cells.select(*cell, "cid"), cell).select("cid", *cell, *_coords(dims)))
+    few = f"an * bn <= {COMPARED_PAIRS}"
+    edges = pairs.where("linked").select("a", "b")
+    members = core.join(cells.select(*cell, "cid"), cell).select("cid", *cell, *_names("x", dims))
 
-    def compared(pairs_: DataFrame, keys: Sequence[str], pts: DataFrame) -> DataFrame:
+    def compared(wanted: DataFrame, points: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Pairs of boxes with at least one pair of points within the radius."""
-        pa = pts.select(F.col("cid").alias("a"), *[F.col(k).alias(f"a{k}") for k in keys], *_coords(dims))
-        pb = pts.select(F.col("cid").alias("b"), *[F.col(k).alias(f"b{k}") for k in keys],
-                        *[F.col(f"x{i}").alias(f"y{i}") for i in range(dims)])
+        pa = points.selectExpr("cid AS a", *[f"{k} AS a{k}" for k in keys], *_names("x", dims))
+        pb = points.selectExpr("cid AS b", *[f"{k} AS b{k}" for k in keys], *[f"x{i} AS y{i}" for i in axes])
         return (
-            pairs_.join(pa, ["a", *[f"a{k}" for k in keys]]).join(pb, ["b", *[f"b{k}" for k in keys]])
-            .where(squared_distance(_coords(dims), _coords(dims, "y")) <= r2).select("a", "b").distinct()
+            wanted.join(pa, ["a", *[f"a{k}" for k in keys]]).join(pb, ["b", *[f"b{k}" for k in keys]])
+            .where(_within(dims, eps * eps)).select("a", "b").distinct()
         )
 
-    edges.append(compared(small, [], by_cell))
-    large = open_.where(F.col("an") * F.col("bn") > COMPARED_PAIRS).select("a", "b")
-    state = cut_lineage(large.withColumns({f"{s}s{i}": F.lit(0).cast("bigint") for s in "ab" for i in range(dims)}))
+    undecided = pairs.where("not linked")
+    edges = edges.unionByName(compared(undecided.where(few).select("a", "b"), members, []))
+    zero = [f"CAST(0 AS BIGINT) AS {s}{p}" for s in "ab" for p in ups]
+    state = undecided.where(f"not ({few})").selectExpr("a", "b", *zero)
     level = 0
     while state.limit(1).count():
         level += 1
         if level > MAX_SPLITS:
             raise RuntimeError("boxes did not separate")
-        members = state.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        pts = by_cell.join(members, "cid", "left_semi")
-        subs = [f"s{i}" for i in range(dims)]
-        boxes = _split_boxes(pts, dims, level, side, lows).withColumns(
-            {f"p{i}": F.call_function("shiftright", F.col(f"s{i}"), F.lit(1)) for i in range(dims)}
+        # boxes of the next subdivision, each with the box it is a part of
+        used = state.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+        step = number(side / 2**level)
+        points = members.join(used, "cid", "left_semi").selectExpr(
+            "cid", *_names("x", dims),
+            *[f"CAST(floor((x{i} - {number(lows[i])}) / {step}) - c{i} * {2**level} AS BIGINT) AS s{i}" for i in axes],
         )
-        halves = {}
-        for s in "ab":
-            halves[s] = side_of(boxes, s, [*subs, *[f"p{i}" for i in range(dims)]])
-        parents = state.withColumnsRenamed({f"{s}s{i}": f"{s}p{i}" for s in "ab" for i in range(dims)})
-        keyed = parents.join(halves["a"], ["a", *[f"ap{i}" for i in range(dims)]]).join(
-            halves["b"], ["b", *[f"bp{i}" for i in range(dims)]]
+        parts = points.groupBy("cid", *subs).agg(F.count(F.lit(1)).alias("n"), *box_columns(dims))
+        halves = {
+            s: as_side(parts, s, [f"s{i} AS {s}s{i}" for i in axes] + [f"shiftright(s{i}, 1) AS {s}p{i}" for i in axes])
+            for s in "ab"
+        }
+        tested = cut_lineage(
+            state.join(halves["a"], ["a", *[f"a{p}" for p in ups]]).join(halves["b"], ["b", *[f"b{p}" for p in ups]])
+            .where(f"{near} <= {r2}")
+            .selectExpr("a", "b", "an", "bn", *[f"{s}s{i}" for s in "ab" for i in axes], f"{far} <= {r2} AS linked")
         )
-        tested = cut_lineage(keyed.where(near <= r2).withColumn("linked", far <= r2))
         found = tested.where("linked").select("a", "b").distinct()
-        edges.append(found)
-        left_over = tested.join(found, ["a", "b"], "left_anti")
-        few = left_over.where(F.col("an") * F.col("bn") <= COMPARED_PAIRS)
-        sub_pts = pts.withColumns({
-            f"s{i}": (F.floor((F.col(f"x{i}") - lows[i]) / (side / 2**level)) - F.col(f"c{i}") * 2**level).cast("bigint")
-            for i in range(dims)
-        })
-        hit = cut_lineage(compared(few.select("a", "b", *[f"{s}s{i}" for s in "ab" for i in range(dims)]), subs, sub_pts))
-        edges.append(hit)
+        unclear = tested.join(found, ["a", "b"], "left_anti")
+        hit = cut_lineage(found.unionByName(compared(unclear.where(few).drop("an", "bn", "linked"), points, subs)))
+        edges = edges.unionByName(hit)
         state = cut_lineage(
-            left_over.where(F.col("an") * F.col("bn") > COMPARED_PAIRS).join(hit, ["a", "b"], "left_anti")
-            .select("a", "b", *[f"{s}s{i}" for s in "ab" for i in range(dims)])
+            unclear.where(f"not ({few})").join(hit, ["a", "b"], "left_anti")
+            .selectExpr("a", "b", *[f"{s}s{i} AS {s}p{i}" for s in "ab" for i in axes])
         )
-    joined = edges[0]
-    for e in edges[1:]:
-        joined = joined.unionByName(e)
-    return cells, joined
+    return cells, edges
 
 
 def dbscan(df: DataFrame, cols: Sequence[str], eps: float, min_samples: int, key: str = "row_id") -> DataFrame:
@@ -196,15 +165,15 @@ def dbscan(df: DataFrame, cols: Sequence[str], eps: float, min_samples: int, key
     so the result does not depend on row order.
     """
     dims = len(cols)
-    cell = [f"c{i}" for i in range(dims)]
+    cell = _names("c", dims)
     pts = cut_lineage(distinct_points(df, cols, key))
     lows = aggregate_row(pts, [F.min(f"x{i}") for i in range(dims)])
     lows = [v if v is not None else 0.0 for v in lows]
     # slightly below eps / sqrt(d), so that rounding cannot push a cell mate out of reach
     side = eps / math.sqrt(dims) * (1 - 1e-9)
-    grid = pts.withColumns({
-        f"c{i}": F.floor((F.col(f"x{i}") - lows[i]) / side).cast("bigint") for i in range(dims)
-    })
+    grid = pts.selectExpr("*", *[
+        f"CAST(floor((x{i} - {number(lows[i])}) / {number(side)}) AS BIGINT) AS c{i}" for i in range(dims)
+    ])
     points = cut_lineage(core_points(grid, dims, eps, min_samples))
     core = points.where("is_core")
     cells, edges = _linked_cells(core, dims, eps, side, lows)
@@ -217,23 +186,20 @@ def dbscan(df: DataFrame, cols: Sequence[str], eps: float, min_samples: int, key
     inside = points.join(own, cell).select("pid", F.col("own").alias("region"))
     # rows that are not core: any region with a core point in reach
     r2 = eps * eps
-    loose = points.where("not is_core").select("pid", *cell, *_coords(dims))
+    loose = points.where("not is_core").select("pid", *cell, *_names("x", dims))
     reachable = cut_lineage(_near_boxes(loose, numbered, dims, r2))
-    other = core.select(*[F.col(f"c{i}").alias(f"n{i}") for i in range(dims)],
-                        *[F.col(f"x{i}").alias(f"y{i}") for i in range(dims)])
-    touched = reachable.where("not whole").join(other, [f"n{i}" for i in range(dims)]).where(
-        squared_distance(_coords(dims), _coords(dims, "y")) <= r2
-    )
+    other = core.selectExpr(*[f"c{i} AS n{i}" for i in range(dims)], *[f"x{i} AS y{i}" for i in range(dims)])
+    touched = reachable.where("not whole").join(other, _names("n", dims)).where(_within(dims, r2))
     region = (
         inside.unionByName(reachable.where("whole").select("pid", "region"))
         .unionByName(touched.select("pid", "region"))
         .groupBy("pid").agg(F.min("region").alias("region"))
     )
     labelled = points.join(region, "pid", "left").select(
-        *[f"x{i}" for i in range(dims)], "is_core", F.coalesce("region", F.lit(NOISE)).cast("bigint").alias("label")
+        *_names("x", dims), "is_core", F.coalesce("region", F.lit(NOISE)).cast("bigint").alias("label")
     )
     rows = df.select(key, *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    return rows.join(labelled, [f"x{i}" for i in range(dims)]).select(
+    return rows.join(labelled, _names("x", dims)).select(
         key, "label", "is_core", (F.col("label") == NOISE).cast("int").alias("is_noise")
     )
 

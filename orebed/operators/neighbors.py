@@ -17,7 +17,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orebed.functions.columns import squared_distance
+from orebed.functions.columns import number, squared_distance_sql
 from orebed.functions.orderstats import aggregate_row
 from orebed.operators.ranking import Knee, knee_chord
 from orebed.session import cut_lineage
@@ -33,19 +33,32 @@ def distinct_points(df: DataFrame, cols: Sequence[str], key: str = "row_id") ->
     )
 
 
-def box_columns(dims: int, prefix: str = "") -> list[Column]:
+def box_columns(dims: int) -> list[Column]:
     """Aggregates for the tight box around points x0..xd."""
-    return [e for i in range(dims) for e in (F.min(f"x{i}").alias(f"{prefix}lo{i}"), F.max(f"x{i}").alias(f"{prefix}hi{i}"))]
+    return [F.expr(f"{f}(x{i}) AS {e}{i}") for i in range(dims) for f, e in (("min", "lo"), ("max", "hi"))]
 
 
-def point_box_distance(point: Sequence[Column], lo: Sequence[Column], hi: Sequence[Column]) -> tuple[Column, Column]:
-    """Squared distance from a point to the nearest and to the farthest place of a box."""
-    near = far = F.lit(0.0)
-    for x, a, b in zip(point, lo, hi):
-        gap = F.greatest(a - x, x - b, F.lit(0.0))
-        reach = F.greatest(F.abs(x - a), F.abs(x - b))
-        near, far = near + gap * gap, far + reach * reach
-    return near, far
+def point_box_sql(dims: int) -> tuple[str, str]:
+    """Squared distance from point x0..xd to the nearest and the farthest place of box lo/hi."""
+    gap = [f"greatest(lo{i} - x{i}, x{i} - hi{i}, 0D)" for i in range(dims)]
+    reach = [f"greatest(abs(x{i} - lo{i}), abs(x{i} - hi{i}))" for i in range(dims)]
+    square = lambda terms: "(" + " + ".join(f"{t} * {t}" for t in terms) + ")"
+    return square(gap), square(reach)
+
+
+def cell_offsets(dims: int, skip_own: bool = False, half: bool = False) -> list[tuple[int, ...]]:
+    """Offsets to the cells within the diagonal of a cell, below ceil(sqrt(d)) sides."""
+    reach = math.ceil(math.sqrt(dims))
+    found = [o for o in product(range(-reach, reach + 1), repeat=dims) if any(o) or not skip_own]
+    return [o for o in found if o > (0,) * dims] if half else found
+
+
+def offset_rows(dims: int, offsets: Sequence[tuple[int, ...]], base: str, name: str) -> str:
+    """SQL generator of one cell struct per offset from the cell named ``base0..``."""
+    cells = ", ".join(
+        "named_struct(" + ", ".join(f"'{name}{i}', {base}{i} + {o[i]}" for i in range(dims)) + ")" for o in offsets
+    )
+    return f"inline(array({cells}))"
 
 
 def neighbor_table(df: DataFrame, cols: Sequence[str], k: int, key: str = "row_id") -> DataFrame:
@@ -65,65 +78,52 @@ def neighbor_table(df: DataFrame, cols: Sequence[str], k: int, key: str = "row_i
     span = max(h - lo for lo, h in zip(lows, ends[3::2])) or 1.0
     depth = min(26, math.ceil(math.log2(max(n, 2)) / dims) + 6)
     fine = 2**depth
-    grid = pts.withColumns({
-        f"g{i}": F.least(F.floor((F.col(f"x{i}") - lows[i]) / span * fine), F.lit(fine - 1)).cast("bigint")
+    xs, gs, cs = ([f"{p}{i}" for i in axes] for p in "xgc")
+    grid = pts.selectExpr("*", *[
+        f"CAST(least(floor((x{i} - {number(lows[i])}) / {number(span)} * {fine}), {fine - 1}) AS BIGINT) AS g{i}"
         for i in axes
-    })
+    ])
 
     def at_levels(table: DataFrame, levels: Sequence[int]) -> DataFrame:
-        leveled = table.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
-        return leveled.withColumns({
-            f"c{i}": F.call_function("shiftright", F.col(f"g{i}"), F.lit(depth) - F.col("level")) for i in axes
-        })
-
-    cell = ["level", *[f"c{i}" for i in axes]]
-    cells = (
-        grid.groupBy(*[f"g{i}" for i in axes]).agg(F.sum("w").alias("w"), *box_columns(dims))
-    )
+        leveled = table.selectExpr("*", f"explode(array({', '.join(map(str, levels))})) AS level")
+        return leveled.selectExpr("*", *[f"shiftright(g{i}, {depth} - level) AS c{i}" for i in axes])
+
+    cell = ["level", *cs]
+    cells = grid.groupBy(*gs).agg(F.sum("w").alias("w"), *box_columns(dims))
     counted = cut_lineage(
         at_levels(cells, range(depth + 1)).groupBy(*cell).agg(
             F.sum("w").alias("w"),
-            *[e for i in axes for e in (F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}"))],
+            *[F.expr(e) for i in axes for e in (f"min(lo{i}) AS lo{i}", f"max(hi{i}) AS hi{i}")],
         )
     )
-    diagonal = sum(((F.col(f"hi{i}") - F.col(f"lo{i}")) * (F.col(f"hi{i}") - F.col(f"lo{i}")) for i in axes), F.lit(0.0))
-    enough = counted.where(F.col("w") >= k).select(*cell, diagonal.alias("bound"))
+    diagonal = squared_distance_sql([f"hi{i}" for i in axes], [f"lo{i}" for i in axes])
+    enough = counted.where(F.col("w") >= k).selectExpr(*cell, f"{diagonal} * (1 + 1e-9D) AS bound")
     homes = (
-        at_levels(cells.select(*[f"g{i}" for i in axes]), range(depth + 1)).join(enough, cell)
-        .groupBy(*[f"g{i}" for i in axes])
-        .agg(F.max(F.struct("level", *[f"c{i}" for i in axes], "bound")).alias("home"))
+        at_levels(cells.select(*gs), range(depth + 1)).join(enough, cell)
+        .groupBy(*gs).agg(F.expr(f"max(struct(level, {', '.join(cs)}, bound)) AS home"))
     )
-    searchers = (
-        grid.join(homes, [f"g{i}" for i in axes])
-        .select("pid", "w", *[f"x{i}" for i in axes], "home.level", "home.bound",
-                *[F.col(f"home.c{i}").alias(f"h{i}") for i in axes])
-    )
-    # the diagonal of a cell is below ceil(sqrt(d)) cell sides
-    reach = math.ceil(math.sqrt(dims))
-    offsets = list(product(range(-reach, reach + 1), repeat=dims))
-    searches = searchers.withColumn("o", F.explode(F.array(*[
-        F.struct(*[F.lit(o[i]).alias(f"o{i}") for i in axes]) for o in offsets
-    ]))).withColumns({f"c{i}": F.col(f"h{i}") + F.col(f"o.o{i}") for i in axes}).drop("o", *[f"h{i}" for i in axes])
-    near, _ = point_box_distance(
-        [F.col(f"x{i}") for i in axes], [F.col(f"lo{i}") for i in axes], [F.col(f"hi{i}") for i in axes]
+    searchers = grid.join(homes, gs).selectExpr(
+        "pid", "w", *xs, "home.level", "home.bound", *[f"home.c{i} AS h{i}" for i in axes]
     )
+    near, _ = point_box_sql(dims)
     searches = cut_lineage(
-        searches.join(counted.drop("w"), cell).where(near <= F.col("bound") * (1 + 1e-9))
-        .drop(*[f"{e}{i}" for i in axes for e in ("lo", "hi")])
+        searchers.selectExpr("pid", "w", *xs, "level", "bound", offset_rows(dims, cell_offsets(dims), "h", "c"))
+        .join(counted.drop("w"), cell).where(f"{near} <= bound")
+        .select("pid", "w", *xs, "bound", *cell)
     )
     levels = sorted(r[0] for r in searches.select("level").distinct().collect())
-    candidates = at_levels(grid, levels).join(searches.select(*cell).distinct(), cell, "left_semi").select(
-        *cell, F.col("pid").alias("other"), F.col("w").alias("other_w"), *[F.col(f"x{i}").alias(f"y{i}") for i in axes]
+    candidates = at_levels(grid, levels).join(searches.select(*cell).distinct(), cell, "left_semi").selectExpr(
+        *cell, "pid AS other", "w AS other_w", *[f"x{i} AS y{i}" for i in axes]
     )
-    d2 = squared_distance([F.col(f"x{i}") for i in axes], [F.col(f"y{i}") for i in axes])
     nearest = Window.partitionBy("pid").orderBy("d2", "other")
     running = nearest.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        searches.join(candidates, cell).withColumn("d2", d2).where(F.col("d2") <= F.col("bound") * (1 + 1e-9))
+        searches.join(candidates, cell)
+        .withColumn("d2", F.expr(squared_distance_sql(xs, [f"y{i}" for i in axes]))).where("d2 <= bound")
         .withColumn("nn_rank", F.row_number().over(nearest)).where(F.col("nn_rank") <= k)
         .withColumn("covered", F.sum("other_w").over(running))
-        .where(F.col("covered") - F.col("other_w") < k)
-        .select("pid", "w", *[f"x{i}" for i in axes], "other", F.sqrt("d2").alias("dist"), "nn_rank", "covered")
+        .where(f"covered - other_w < {k}")
+        .selectExpr("pid", "w", *xs, "other", "sqrt(d2) AS dist", "nn_rank", "covered")
     )
 
 
@@ -131,7 +131,7 @@ def k_distance_points(df: DataFrame, cols: Sequence[str], ks: Sequence[int], key
     """Distinct points with the distance ``kd_<k>`` to their k-th row, themselves counted."""
     table = neighbor_table(df, cols, max(ks), key)
     return table.groupBy("pid", "w", *[f"x{i}" for i in range(len(cols))]).agg(*[
-        F.min(F.when(F.col("covered") >= k, F.col("dist"))).alias(f"kd_{k}") for k in ks
+        F.expr(f"min(CASE WHEN covered >= {k} THEN dist END) AS kd_{k}") for k in ks
     ])
 
 

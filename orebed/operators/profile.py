@@ -131,7 +131,14 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40) -> DataFrame:
         if lo == hi:
             bucket = F.when(x.isNotNull(), F.lit(bins // 2 + 1))
         else:
-            bucket = F.least(F.floor((x - lo) * bins / (hi - lo)) + 1, F.lit(bins))
+            # a first guess, moved by one where rounding put it beside its edges
+            width = (hi - lo) / bins
+            guess = F.least(F.floor((x - lo) / width), F.lit(bins - 1))
+            edge = lambda b: lo + b * width
+            bucket = (
+                F.when(x < edge(guess), guess - 1)
+                .when((x >= edge(guess + 1)) & (guess < bins - 1), guess + 1).otherwise(guess) + 1
+            )
         cells.append(F.struct(F.lit(c).alias("feature"), bucket.cast("int").alias("bucket")))
     return (
         df.select(F.explode(F.array(*cells)).alias("x")).where("x.bucket is not null")

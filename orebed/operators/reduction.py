@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orebed.functions.columns import linear_sql, quoted
 from orebed.operators.correlation import covariance
 
 
@@ -42,12 +43,10 @@ def pca_fit(df: DataFrame, cols: Sequence[str]) -> Components:
 def pca_scores(df: DataFrame, fit: Components, k: int, key: str = "row_id", names: Sequence[str] | None = None) -> DataFrame:
     """Row key and the first ``k`` centred component scores."""
     names = names or [f"PC{i + 1}" for i in range(k)]
-    scores = []
-    for i in range(k):
-        total = F.lit(0.0)
-        for c, m, w in zip(fit.cols, fit.means, fit.loadings[:, i]):
-            total = total + (F.col(c) - float(m)) * float(w)
-        scores.append(total.alias(names[i]))
+    terms = [quoted(c) for c in fit.cols]
+    scores = [
+        F.expr(linear_sql(terms, fit.loadings[:, i], fit.means)).alias(names[i]) for i in range(k)
+    ]
     return df.select(key, *scores)
 
 
