@@ -136,7 +136,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40) -> DataFrame:
             guess = F.least(F.floor((x - lo) / width), F.lit(bins - 1))
             edge = lambda b: lo + b * width
             bucket = (
-                F.when(x < edge(guess), guess - 1)
+                F.when(x.isNull(), F.lit(None))  # least() would skip the null
+                .when(x < edge(guess), guess - 1)
                 .when((x >= edge(guess + 1)) & (guess < bins - 1), guess + 1).otherwise(guess) + 1
             )
         cells.append(F.struct(F.lit(c).alias("feature"), bucket.cast("int").alias("bucket")))

@@ -165,11 +165,15 @@ def drop_structural(rules: DataFrame, a: str, b: str) -> DataFrame:
 
 def rules_without(rules: DataFrame, attrs: Sequence[str]) -> DataFrame:
     """Rules with no item of the given attributes on either side."""
-    keep = F.lit(True)
-    for attr in attrs:
-        for side in ("antecedent", "consequent"):
-            keep = keep & ~F.exists(side, lambda i, a=attr: F.startswith(i, F.lit(f"{a}_")))
-    return rules.where(keep)
+    prefixes = [f"{a}_" for a in attrs]
+
+    def named(item: Column) -> Column:
+        hit = F.lit(False)
+        for p in prefixes:
+            hit = hit | F.startswith(item, F.lit(p))
+        return hit
+
+    return rules.where(~F.exists("antecedent", named) & ~F.exists("consequent", named))
 
 
 def rule_edges(rules: DataFrame, k: int = 12) -> DataFrame:
