@@ -32,11 +32,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             offered.select(F.explode(F.array("id", "label")).alias("id"), "offer")
             .groupBy("id").agg(F.min("offer").alias("offer"))
         )
-        lowered = labels.join(offers, "id", "left").select("id", F.least("label", "offer").alias("label"))
+        lowered = labels.join(offers, "id", "left").select(
+            "id", F.col("label").alias("old"), F.least("label", "offer").alias("label")
+        )
         parents = lowered.select(F.col("id").alias("label"), F.col("label").alias("root"))
-        after = cut_lineage(lowered.join(parents, "label").select("id", F.col("root").alias("label")))
-        changed = after.join(labels.withColumnRenamed("label", "old"), "id").where("label <> old").limit(1).count()
-        labels = after
-        if not changed:
+        after = cut_lineage(lowered.join(parents, "label").select("id", "old", F.col("root").alias("label")))
+        labels = after.select("id", "label")
+        if not after.where("label <> old").limit(1).count():
             return labels
     raise RuntimeError("component labels did not settle")

@@ -61,6 +61,52 @@ def offset_rows(dims: int, offsets: Sequence[tuple[int, ...]], base: str, name:
     return f"inline(array({cells}))"
 
 
+FULL_DEPTH = 48   # finest level: doubles still resolve it
+LEVELS_PER_PASS = 8
+
+
+def _at_levels(table: DataFrame, dims: int, levels: Sequence[int]) -> DataFrame:
+    """One copy per level with the cell c0.. that holds the finest cell g0.."""
+    leveled = table.selectExpr("*", f"explode(array({', '.join(map(str, levels))})) AS level")
+    return leveled.selectExpr("*", *[f"shiftright(g{i}, {FULL_DEPTH} - level) AS c{i}" for i in range(dims)])
+
+
+def _nested_grids(grid: DataFrame, dims: int, k: int, n: int) -> list[tuple[DataFrame, DataFrame, range]]:
+    """Counted cells in passes of a few levels: (points, cells, levels) per pass.
+
+    The first pass goes down to cells of a few rows on average. Later passes
+    split only the cells that are still overfull, together with the points of
+    the cells around them, which their searches may reach.
+    """
+    axes = range(dims)
+    cell = ["level", *[f"c{i}" for i in axes]]
+    passes, active = [], grid
+    start, end = 0, min(max(math.ceil(math.log2(max(n / k, 1)) / dims) + 2, 2), FULL_DEPTH)
+    while True:
+        levels = range(start, end + 1)
+        # merge the points of one finest cell of this pass before copying to its levels
+        fine = active.selectExpr(
+            "w", *[f"x{i}" for i in axes],
+            *[f"shiftleft(shiftright(g{i}, {FULL_DEPTH - end}), {FULL_DEPTH - end}) AS g{i}" for i in axes],
+        ).groupBy(*[f"g{i}" for i in axes]).agg(F.sum("w").alias("w"), *box_columns(dims))
+        cells = cut_lineage(
+            _at_levels(fine, dims, levels).groupBy(*cell).agg(
+                F.sum("w").alias("w"),
+                *[F.expr(e) for i in axes for e in (f"min(lo{i}) AS lo{i}", f"max(hi{i}) AS hi{i}")],
+            )
+        )
+        passes.append((active, cells, levels))
+        # repeated points cannot be split: a cell of one place is never overfull
+        spread = " OR ".join(f"hi{i} > lo{i}" for i in axes)
+        overfull = cells.where(f"level = {end} AND w >= {k * 2**dims} AND ({spread})")
+        if end == FULL_DEPTH or not overfull.limit(1).count():
+            return passes
+        near = overfull.selectExpr(offset_rows(dims, cell_offsets(dims), "c", "n")).distinct()
+        keyed = active.selectExpr("*", *[f"shiftright(g{i}, {FULL_DEPTH - end}) AS n{i}" for i in axes])
+        active = cut_lineage(keyed.join(near, [f"n{i}" for i in axes], "left_semi").select(*grid.columns))
+        start, end = end + 1, min(end + LEVELS_PER_PASS, FULL_DEPTH)
+
+
 def neighbor_table(df: DataFrame, cols: Sequence[str], k: int, key: str = "row_id") -> DataFrame:
     """The nearest distinct points of each distinct point until k rows are covered.
 
@@ -76,45 +122,44 @@ def neighbor_table(df: DataFrame, cols: Sequence[str], k: int, key: str = "row_i
         raise ValueError(f"{rows or 0} rows are fewer than k={k}")
     lows = ends[2::2]
     span = max(h - lo for lo, h in zip(lows, ends[3::2])) or 1.0
-    depth = min(26, math.ceil(math.log2(max(n, 2)) / dims) + 6)
-    fine = 2**depth
-    xs, gs, cs = ([f"{p}{i}" for i in axes] for p in "xgc")
+    xs, cs = ([f"{p}{i}" for i in axes] for p in "xc")
+    cell = ["level", *cs]
     grid = pts.selectExpr("*", *[
-        f"CAST(least(floor((x{i} - {number(lows[i])}) / {number(span)} * {fine}), {fine - 1}) AS BIGINT) AS g{i}"
+        f"CAST(least(floor((x{i} - {number(lows[i])}) / {number(span)} * {2**FULL_DEPTH}), {2**FULL_DEPTH - 1}) AS BIGINT) AS g{i}"
         for i in axes
     ])
-
-    def at_levels(table: DataFrame, levels: Sequence[int]) -> DataFrame:
-        leveled = table.selectExpr("*", f"explode(array({', '.join(map(str, levels))})) AS level")
-        return leveled.selectExpr("*", *[f"shiftright(g{i}, {depth} - level) AS c{i}" for i in axes])
-
-    cell = ["level", *cs]
-    cells = grid.groupBy(*gs).agg(F.sum("w").alias("w"), *box_columns(dims))
-    counted = cut_lineage(
-        at_levels(cells, range(depth + 1)).groupBy(*cell).agg(
-            F.sum("w").alias("w"),
-            *[F.expr(e) for i in axes for e in (f"min(lo{i}) AS lo{i}", f"max(hi{i}) AS hi{i}")],
-        )
-    )
+    passes = _nested_grids(grid, dims, k, n)
     diagonal = squared_distance_sql([f"hi{i}" for i in axes], [f"lo{i}" for i in axes])
-    enough = counted.where(F.col("w") >= k).selectExpr(*cell, f"{diagonal} * (1 + 1e-9D) AS bound")
-    homes = (
-        at_levels(cells.select(*gs), range(depth + 1)).join(enough, cell)
-        .groupBy(*gs).agg(F.expr(f"max(struct(level, {', '.join(cs)}, bound)) AS home"))
-    )
-    searchers = grid.join(homes, gs).selectExpr(
-        "pid", "w", *xs, "home.level", "home.bound", *[f"home.c{i} AS h{i}" for i in axes]
-    )
+    homes = None
+    for active, cells, levels in passes:
+        enough = cells.where(F.col("w") >= k).selectExpr(*cell, f"{diagonal} * (1 + 1e-9D) AS bound")
+        found = (
+            _at_levels(active, dims, levels).join(enough, cell)
+            .groupBy("pid", "w", *xs).agg(F.expr(f"max(struct(level, {', '.join(cs)}, bound)) AS home"))
+        )
+        homes = found if homes is None else homes.unionByName(found)
+    if len(passes) > 1:
+        homes = homes.groupBy("pid", "w", *xs).agg(F.max("home").alias("home"))
+    counted = passes[0][1]
+    for _, cells, _ in passes[1:]:
+        counted = counted.unionByName(cells)
+    searchers = homes.selectExpr("pid", "w", *xs, "home.level", "home.bound", *[f"home.c{i} AS h{i}" for i in axes])
     near, _ = point_box_sql(dims)
     searches = cut_lineage(
         searchers.selectExpr("pid", "w", *xs, "level", "bound", offset_rows(dims, cell_offsets(dims), "h", "c"))
         .join(counted.drop("w"), cell).where(f"{near} <= bound")
         .select("pid", "w", *xs, "bound", *cell)
     )
-    levels = sorted(r[0] for r in searches.select("level").distinct().collect())
-    candidates = at_levels(grid, levels).join(searches.select(*cell).distinct(), cell, "left_semi").selectExpr(
-        *cell, "pid AS other", "w AS other_w", *[f"x{i} AS y{i}" for i in axes]
-    )
+    wanted = searches.select(*cell).distinct()
+    used = {r[0] for r in wanted.select("level").distinct().collect()}
+    candidates = None
+    for active, _, levels in passes:
+        hit = [v for v in levels if v in used]
+        if hit:
+            part = _at_levels(active, dims, hit).join(wanted, cell, "left_semi").selectExpr(
+                *cell, "pid AS other", "w AS other_w", *[f"x{i} AS y{i}" for i in axes]
+            )
+            candidates = part if candidates is None else candidates.unionByName(part)
     nearest = Window.partitionBy("pid").orderBy("d2", "other")
     running = nearest.rowsBetween(Window.unboundedPreceding, 0)
     return (

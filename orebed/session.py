@@ -20,6 +20,8 @@ def build_session(app: str = "orebed", master: str | None = None, **conf) -> Spa
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # call-site capture costs several JVM calls per column expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
