@@ -24,6 +24,7 @@ from orebed.operators.columns import distinct_ranks
 from orebed.operators.components import connected_components
 from orebed.operators.neighbors import (
     box_columns, cell_offsets, distinct_points, k_distance_knee, k_distance_points, offset_rows, point_box_sql,
+    sliced_join,
 )
 from orebed.session import cut_lineage
 
@@ -70,7 +71,9 @@ def _near_boxes(points: DataFrame, boxes: DataFrame, dims: int, r2: float) -> Da
 def core_points(grid: DataFrame, dims: int, eps: float, min_samples: int) -> DataFrame:
     """Grid points with ``is_core``: at least ``min_samples`` rows within the radius, itself counted."""
     cell = _names("c", dims)
-    cells = cut_lineage(grid.groupBy(*cell).agg(F.sum("w").alias("cw"), *box_columns(dims)))
+    cells = cut_lineage(
+        grid.groupBy(*cell).agg(F.sum("w").alias("cw"), F.count(F.lit(1)).alias("m"), *box_columns(dims))
+    )
     full = cells.where(F.col("cw") >= min_samples).select(*cell)
     dense = grid.join(full, cell, "left_semi").withColumn("is_core", F.lit(True))
     sparse = grid.join(cells.where(F.col("cw") < min_samples).select(*cell, F.col("cw").alias("own")), cell)
@@ -80,7 +83,7 @@ def core_points(grid: DataFrame, dims: int, eps: float, min_samples: int) -> Dat
     # undecided boxes: compare with the points of the box
     other = grid.selectExpr(*[f"c{i} AS n{i}" for i in range(dims)], *[f"x{i} AS y{i}" for i in range(dims)], "w AS ow")
     compared = (
-        reachable.where("not whole").join(other, _names("n", dims)).where(_within(dims, r2))
+        sliced_join(reachable.where("not whole"), other, _names("n", dims)).where(_within(dims, r2))
         .groupBy("pid").agg(F.sum("ow").alias("rows"))
     )
     around = sure.unionByName(compared).groupBy("pid").agg(F.sum("rows").alias("around"))
@@ -180,7 +183,8 @@ def dbscan(df: DataFrame, cols: Sequence[str], eps: float, min_samples: int, key
     comp = connected_components(cells.select(F.col("cid").alias("id")), edges)
     ranks = distinct_ranks(comp, "label").select(F.col("value").alias("label"), (F.col("rank") - 1).alias("region"))
     numbered = cut_lineage(
-        cells.join(comp.withColumnRenamed("id", "cid"), "cid").join(ranks, "label").drop("label", "n")
+        cells.join(comp.withColumnRenamed("id", "cid"), "cid").join(ranks, "label").drop("label")
+        .withColumnRenamed("n", "m")
     )
     own = numbered.select(*cell, F.col("region").alias("own"))
     inside = points.join(own, cell).select("pid", F.col("own").alias("region"))
@@ -189,7 +193,7 @@ def dbscan(df: DataFrame, cols: Sequence[str], eps: float, min_samples: int, key
     loose = points.where("not is_core").select("pid", *cell, *_names("x", dims))
     reachable = cut_lineage(_near_boxes(loose, numbered, dims, r2))
     other = core.selectExpr(*[f"c{i} AS n{i}" for i in range(dims)], *[f"x{i} AS y{i}" for i in range(dims)])
-    touched = reachable.where("not whole").join(other, _names("n", dims)).where(_within(dims, r2))
+    touched = sliced_join(reachable.where("not whole"), other, _names("n", dims)).where(_within(dims, r2))
     region = (
         inside.unionByName(reachable.where("whole").select("pid", "region"))
         .unionByName(touched.select("pid", "region"))

@@ -61,6 +61,25 @@ def offset_rows(dims: int, offsets: Sequence[tuple[int, ...]], base: str, name:
     return f"inline(array({cells}))"
 
 
+SLICE_POINTS = 1_000  # points of one cell that one slice of a join compares
+
+
+def sliced_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join in which a cell of ``m`` right rows is split into slices of bounded size.
+
+    ``left`` carries ``m``. Its few rows are copied once per slice, so that a
+    cell that holds a large share of all points is compared by many tasks.
+    """
+    slices = f"CAST(greatest(ceil(m / {SLICE_POINTS}D), 1) AS INT)"
+    sizes = left.select(*keys, "m").distinct()
+    others = [c for c in right.columns if c not in keys]
+    cut = right.join(sizes, list(keys)).selectExpr(
+        *keys, *others, f"CAST(pmod(xxhash64({', '.join(others)}), {slices}) AS INT) AS slice"
+    )
+    spread = left.selectExpr("*", f"explode(sequence(0, {slices} - 1)) AS slice").drop("m")
+    return spread.join(cut, [*keys, "slice"]).drop("slice")
+
+
 FULL_DEPTH = 48   # finest level: doubles still resolve it
 LEVELS_PER_PASS = 8
 
@@ -88,10 +107,10 @@ def _nested_grids(grid: DataFrame, dims: int, k: int, n: int) -> list[tuple[Data
         fine = active.selectExpr(
             "w", *[f"x{i}" for i in axes],
             *[f"shiftleft(shiftright(g{i}, {FULL_DEPTH - end}), {FULL_DEPTH - end}) AS g{i}" for i in axes],
-        ).groupBy(*[f"g{i}" for i in axes]).agg(F.sum("w").alias("w"), *box_columns(dims))
+        ).groupBy(*[f"g{i}" for i in axes]).agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("m"), *box_columns(dims))
         cells = cut_lineage(
             _at_levels(fine, dims, levels).groupBy(*cell).agg(
-                F.sum("w").alias("w"),
+                F.sum("w").alias("w"), F.sum("m").alias("m"),
                 *[F.expr(e) for i in axes for e in (f"min(lo{i}) AS lo{i}", f"max(hi{i}) AS hi{i}")],
             )
         )
@@ -132,43 +151,53 @@ def neighbor_table(df: DataFrame, cols: Sequence[str], k: int, key: str = "row_i
     diagonal = squared_distance_sql([f"hi{i}" for i in axes], [f"lo{i}" for i in axes])
     homes = None
     for active, cells, levels in passes:
-        enough = cells.where(F.col("w") >= k).selectExpr(*cell, f"{diagonal} * (1 + 1e-9D) AS bound")
+        enough = cells.where(F.col("w") >= k).selectExpr(*cell, "m", f"{diagonal} * (1 + 1e-9D) AS bound")
         found = (
-            _at_levels(active, dims, levels).join(enough, cell)
-            .groupBy("pid", "w", *xs).agg(F.expr(f"max(struct(level, {', '.join(cs)}, bound)) AS home"))
+            _at_levels(active.select("pid", *xs, *[f"g{i}" for i in axes]), dims, levels).join(enough, cell)
+            .groupBy("pid", *xs).agg(F.expr(f"max(struct(level, {', '.join(cs)}, m, bound)) AS home"))
         )
         homes = found if homes is None else homes.unionByName(found)
     if len(passes) > 1:
-        homes = homes.groupBy("pid", "w", *xs).agg(F.max("home").alias("home"))
+        homes = homes.groupBy("pid", *xs).agg(F.max("home").alias("home"))
+    homes = cut_lineage(homes.select("pid", *xs, "home.*"))
     counted = passes[0][1]
     for _, cells, _ in passes[1:]:
         counted = counted.unionByName(cells)
-    searchers = homes.selectExpr("pid", "w", *xs, "home.level", "home.bound", *[f"home.c{i} AS h{i}" for i in axes])
+
+    def compared(searches: DataFrame) -> DataFrame:
+        """Distances within the bound between searchers and the points of their cells."""
+        used = {r[0] for r in searches.select("level").distinct().collect()}
+        candidates = None
+        for active, _, levels in passes:
+            hit = [v for v in levels if v in used]
+            if hit:
+                part = _at_levels(active, dims, hit).selectExpr(
+                    *cell, "pid AS other", "w AS other_w", *[f"x{i} AS y{i}" for i in axes]
+                )
+                candidates = part if candidates is None else candidates.unionByName(part)
+        d2 = squared_distance_sql(xs, [f"y{i}" for i in axes])
+        pairs = sliced_join(searches, candidates, cell)
+        # only keys and distances take part in the ranking
+        return pairs.where(f"{d2} <= bound").selectExpr("pid", f"{d2} AS d2", "other", "other_w")
+
+    nearest = Window.partitionBy("pid").orderBy("d2", "other")
+    running = nearest.rowsBetween(Window.unboundedPreceding, 0)
+
+    def first_rows(pairs: DataFrame) -> DataFrame:
+        top = pairs.withColumn("nn_rank", F.row_number().over(nearest)).where(F.col("nn_rank") <= k)
+        return top.withColumn("covered", F.sum("other_w").over(running)).where(f"covered - other_w < {k}")
+
+    # the k-th distance inside the own cell bounds the search around it
+    own = first_rows(compared(homes)).groupBy("pid").agg((F.max("d2") * (1 + 1e-9)).alias("bound"))
     near, _ = point_box_sql(dims)
+    searchers = homes.drop("bound", "m").withColumnsRenamed({f"c{i}": f"h{i}" for i in axes}).join(own, "pid")
     searches = cut_lineage(
-        searchers.selectExpr("pid", "w", *xs, "level", "bound", offset_rows(dims, cell_offsets(dims), "h", "c"))
+        searchers.selectExpr("pid", *xs, "level", "bound", offset_rows(dims, cell_offsets(dims), "h", "c"))
         .join(counted.drop("w"), cell).where(f"{near} <= bound")
-        .select("pid", "w", *xs, "bound", *cell)
+        .select("pid", *xs, "bound", "m", *cell)
     )
-    wanted = searches.select(*cell).distinct()
-    used = {r[0] for r in wanted.select("level").distinct().collect()}
-    candidates = None
-    for active, _, levels in passes:
-        hit = [v for v in levels if v in used]
-        if hit:
-            part = _at_levels(active, dims, hit).join(wanted, cell, "left_semi").selectExpr(
-                *cell, "pid AS other", "w AS other_w", *[f"x{i} AS y{i}" for i in axes]
-            )
-            candidates = part if candidates is None else candidates.unionByName(part)
-    nearest = Window.partitionBy("pid").orderBy("d2", "other")
-    running = nearest.rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        searches.join(candidates, cell)
-        .withColumn("d2", F.expr(squared_distance_sql(xs, [f"y{i}" for i in axes]))).where("d2 <= bound")
-        .withColumn("nn_rank", F.row_number().over(nearest)).where(F.col("nn_rank") <= k)
-        .withColumn("covered", F.sum("other_w").over(running))
-        .where(f"covered - other_w < {k}")
-        .selectExpr("pid", "w", *xs, "other", "sqrt(d2) AS dist", "nn_rank", "covered")
+    return first_rows(compared(searches)).join(pts, "pid").selectExpr(
+        "pid", "w", *xs, "other", "sqrt(d2) AS dist", "nn_rank", "covered"
     )
 
 
