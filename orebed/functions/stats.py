@@ -20,7 +20,7 @@ def kurt_corrected(c: Column) -> Column:
     n = F.count(c).cast("double")
     raw = F.kurtosis(c)
     g2 = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * raw + 6)
-    constant = F.coalesce(F.isnan(raw), F.lit(True))
+    constant = raw.isNull() | F.isnan(raw)
     return F.when(n >= 4, F.when(constant, F.lit(0.0)).otherwise(g2))
 
 

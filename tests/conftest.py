@@ -18,3 +18,5 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+import os, sys
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
