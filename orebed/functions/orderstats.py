@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from orebed.session import cut_lineage
 
 SMALL_ROWS = 2_000_000     # rows for which the built-in exact percentile is used
+BUFFERED_VALUES = 4_000_000  # values that its buffers may hold in one pass, over all columns
 BRACKET_VALUES = 2_000     # distinct-value bound of a listed bracket
 SKETCH_ACCURACY = 10_000
 AGGREGATES_PER_PASS = 200  # keeps generated code below the method limits
@@ -29,10 +30,10 @@ def chunks(items: Sequence, size: int = AGGREGATES_PER_PASS):
         yield items[i : i + size]
 
 
-def aggregate_row(df: DataFrame, exprs: Sequence) -> list:
+def aggregate_row(df: DataFrame, exprs: Sequence, width: int = AGGREGATES_PER_PASS) -> list:
     """Values of many aggregates, evaluated in passes of bounded width."""
     out = []
-    for part in chunks(list(exprs)):
+    for part in chunks(list(exprs), width):
         out.extend(df.agg(*[e.alias(f"a{i}") for i, e in enumerate(part)]).first())
     return out
 
@@ -45,9 +46,11 @@ def exact_quantiles(
     if not cols:
         return {}
     counts = dict(zip(cols, aggregate_row(df, [F.count(c) for c in cols])))
-    if max(counts.values()) <= small_rows:
+    most = max(counts.values())
+    if most <= small_rows:
         probs_lit = F.array(*[F.lit(float(p)) for p in probs])
-        rows = aggregate_row(df, [F.percentile(F.col(c).cast("double"), probs_lit) for c in cols])
+        width = max(1, min(AGGREGATES_PER_PASS, BUFFERED_VALUES // max(most, 1)))
+        rows = aggregate_row(df, [F.percentile(F.col(c).cast("double"), probs_lit) for c in cols], width)
         return {c: list(v) if v is not None else [None] * len(probs) for c, v in zip(cols, rows)}
     wanted = {}
     for c in cols:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,23 +11,31 @@ from pyspark.sql import functions as F
 from orebed.functions.columns import clip, sampling_hash
 from orebed.functions.orderstats import order_statistics
 
-TOP_ROWS = 100_000  # largest sample taken as one top-n merge
+TOP_ROWS = 100_000     # largest sample taken as one top-n merge
+PLAIN_ROWS = 1_000_000  # tables whose tasks may each offer n rows to that merge
 
 
 def sample_exact(df: DataFrame, n: int, seed: int, key: str | Sequence[str] = "row_id") -> DataFrame:
     """``n`` rows without replacement: those with the smallest seeded key hash.
 
-    Large samples find the hash value at rank ``n`` exactly and then only
-    filter, so no task has to hold or merge the sample.
+    On a large table only rows below a hash cut are sorted. For a small sample
+    the cut is set a little too high and checked by counting; for a large one
+    it is the exact hash at rank ``n``, and the sample is a filter.
     """
     keys = [F.col(k) for k in ([key] if isinstance(key, str) else key)]
     hashed = df.withColumn("_h", sampling_hash(keys, seed))
-    if n <= TOP_ROWS:
-        return hashed.orderBy("_h", *keys).limit(n).drop("_h")
-    if df.count() <= n:
+    total = df.count()
+    if total <= n:
         return df
+    if total <= PLAIN_ROWS and n <= TOP_ROWS:
+        return hashed.orderBy("_h", *keys).limit(n).drop("_h")
     # 13 hex digits fit a double exactly; the text order equals the number order
     numbered = hashed.withColumn("_v", F.conv(F.substring("_h", 1, 13), 16, 10).cast("double"))
+    if n <= TOP_ROWS:
+        share = (n + 8 * math.sqrt(n) + 50) / total
+        likely = numbered.where(F.col("_v") < share * 2.0**52)
+        if likely.count() >= n:
+            return likely.orderBy("_h", *keys).limit(n).drop("_h", "_v")
     cut = order_statistics(numbered, {"_v": [n - 1]})["_v", n - 1]
     below = numbered.where(F.col("_v") < cut)
     missing = n - below.count()

@@ -95,7 +95,8 @@ def test_order_statistics_of_large_columns(spark, monkeypatch):
     got = O.exact_quantiles(df, ["v", "n"], probs, small_rows=10)
     assert np.allclose(got["v"], np.quantile(data, probs), rtol=1e-12)
     assert np.allclose(got["n"], np.quantile(-data[11:], probs), rtol=1e-12)
-    assert O.exact_quantiles(df, ["v"], probs)["v"] == pytest.approx(got["v"])
+    monkeypatch.setattr(O, "BUFFERED_VALUES", 6000)  # one column per pass
+    assert O.exact_quantiles(df, ["v", "n"], probs)["v"] == pytest.approx(got["v"])
 
 
 def test_ranked_values_and_cutoffs(spark):
@@ -117,6 +118,8 @@ def test_ranked_values_and_cutoffs(spark):
 def test_sampling(spark, monkeypatch):
     df = spark.range(5000).withColumnRenamed("id", "row_id")
     small = {r[0] for r in W.sample_exact(df, 700, 9).collect()}
+    monkeypatch.setattr(W, "PLAIN_ROWS", 10)
+    assert {r[0] for r in W.sample_exact(df, 700, 9).collect()} == small
     monkeypatch.setattr(W, "TOP_ROWS", 10)
     assert {r[0] for r in W.sample_exact(df.repartition(7), 700, 9).collect()} == small and len(small) == 700
     assert W.sample_exact(df, 9000, 9).count() == 5000
