@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.llm import packing, quality
+from orebed.llm import htmlmain, packing, quality, secretscan, urlfilter, warc
 from orebed.llm.common import table
+from orebed.session import shared_dir
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +56,101 @@ FROM b
 """
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives in the shared folder and read back."""
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).drop("url")
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmlmain.extract(table(spark, sf_dir, "pages"))
+
+
+URL_RULES = (
+    urlfilter.Rule("allow", "org", "/"), urlfilter.Rule("block", "example.org", "/es/"),
+    urlfilter.Rule("block", "example.org", "/en/1"), urlfilter.Rule("allow", "com", "/fr/"),
+    urlfilter.Rule("block", "com", "/de/"),
+)
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page url; the labels of the document that a path names are the evidence."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url",
+        F.expr(r"try_cast(nullif(regexp_extract(url, '(?s)^.*?://[^/?#]*/(?:[^?#]*?/)?([0-9]+)', 1), '') AS bigint)").alias("label_id"))
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("label_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return urlfilter.judge(pages, URL_RULES, labels).select(
+        "page_id", "host", "path", "rule", "verdict", "template", "bad_share")
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: strong spans, and all spans with the linked weak parts."""
+    found = secretscan.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda x: x["k"] == k)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(secretscan.KINDS[:3])],
+        F.sha2(secretscan.written("base"), 256).alias("base_sha256"), secretscan.written("spans").alias("spans"))
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+k AS (SELECT html, max(page_id) AS keeper FROM p GROUP BY html),
+h AS (SELECT p.page_id, octet_length(encode(p.html)) AS n, sha1(p.html) AS hex, keeper FROM p JOIN k ON p.html = k.html)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ('0b' || substr(array_to_string(list_transform(range(1, 41), lambda j:
+           right(bin(('0x' || substr(hex, j, 1))::INT + 16), 4)), ''), 5 * i + 1, 5))::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
+FROM h
+"""
+
+
+def _spans_sql(kind: str, keep: str, source: str | None = None) -> str:
+    """CTE text: spans of one kind as (r, start, k, finish), from the pieces between matches."""
+    pattern = secretscan.PATTERNS[source or kind].replace("'", "''")
+    k = secretscan.KINDS.index(kind)
+    return f"""
+  SELECT r, start, {k} AS k, start + size AS finish FROM (
+    SELECT r, i, size, value,
+           coalesce(sum(gap + size) OVER (PARTITION BY r ORDER BY i) - size, 0) AS start
+    FROM (
+      SELECT r, i, length(g[i]) AS gap, length(m[i]) AS size, length(v[i]) AS value
+      FROM (SELECT r, regexp_split_to_array(text, '{pattern}') AS g, regexp_extract_all(text, '{pattern}', 0) AS m,
+                   regexp_extract_all(text, '{pattern}', 2) AS v, unnest(range(1, len(m) + 1)) AS i FROM d)))
+  WHERE {keep}"""
+
+
+_KIND_SQL = "CASE k " + " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(secretscan.KINDS)) + " END"
+OP8_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({" UNION ALL ".join([
+    _spans_sql("assign", "value >= 8"), _spans_sql("access", "size >= 16"), _spans_sql("hex", "true")])}),
+weak AS ({" UNION ALL ".join([
+    _spans_sql("login", "true"), _spans_sql("short", "value BETWEEN 4 AND 7", "assign"), _spans_sql("weak", "true"),
+    _spans_sql("bare", "size = 40"), _spans_sql("endpoint", "true")])}),
+part AS MATERIALIZED (SELECT * FROM base UNION ALL SELECT * FROM weak),
+link AS (
+  SELECT s.r, s.start AS s1, s.k AS k1, s.finish AS f1, o.start AS s2, o.k AS k2, o.finish AS f2
+  FROM part s JOIN part o ON s.r = o.r AND s.k IN (0, 4, 5, 6) AND o.k IN (1, 3, 7)
+   AND o.start - s.finish <= {secretscan.REACH} AND s.start - o.finish <= {secretscan.REACH}),
+every AS (
+  SELECT * FROM base UNION ALL
+  SELECT * FROM (SELECT r, s1, k1, f1 FROM link WHERE k1 >= 3 UNION SELECT r, s2, k2, f2 FROM link WHERE k2 >= 3)),
+told AS (SELECT r, string_agg(({_KIND_SQL}) || ':' || start::BIGINT || ':' || finish::BIGINT, ',' ORDER BY start, k, finish) AS s
+         FROM every GROUP BY r),
+based AS (SELECT r, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS c, count(*) FILTER (k = 2) AS h,
+                 string_agg(({_KIND_SQL}) || ':' || start::BIGINT || ':' || finish::BIGINT, ',' ORDER BY start, k, finish) AS s
+          FROM base GROUP BY r)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(based.s, '')) AS base_sha256, coalesce(told.s, '') AS spans
+FROM d LEFT JOIN based USING (r) LEFT JOIN told USING (r)
+"""
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -69,8 +167,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_warc": op4_warc,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_url_filters": op7_url_filters,
+    "op8_secret_scans": op8_secret_scans,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLES = {
     "op1_quality_rules": OP1_SQL,
+    "op4_warc": OP4_SQL,
+    "op8_secret_scans": OP8_SQL,
 }
