@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.llm import htmlmain, packing, quality, secretscan, urlfilter, warc
+from orebed.llm import htmlmain, nearsets, packing, quality, secretscan, urlfilter, warc
 from orebed.llm.common import table
 from orebed.session import shared_dir
 
@@ -56,6 +56,14 @@ FROM b
 """
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of four-word shingle sets."""
+    found = nearsets.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+    return found.select(
+        "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives in the shared folder and read back."""
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
@@ -167,6 +175,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_warc": op4_warc,
     "op6_html_extraction": op6_html_extraction,
     "op7_url_filters": op7_url_filters,
