@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.llm import htmlmain, nearsets, packing, quality, secretscan, urlfilter, warc
+from orebed.llm import htmlmain, linechunks, nearsets, packing, quality, secretscan, urlfilter, warc
 from orebed.llm.common import table
 from orebed.session import shared_dir
 
@@ -64,6 +64,39 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every document without chunks of lines that stand earlier in the corpus."""
+    return linechunks.dedup_lines(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"), "text", "removed_chunks", "removed_lines")
+
+
+OP3_SQL = f"""
+WITH line AS (
+  SELECT doc_id, i, l, len(regexp_extract_all(l, '[^\\x20\\x09-\\x0D]+')) AS w, ('0x' || substr(md5(l), 1, 8))::BIGINT AS h
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i, ls[i] AS l
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))),
+ends AS (
+  SELECT *, (coalesce(lag(h) OVER o, 0) * {linechunks.MULTIPLIER} + h) % {linechunks.ONE_IN} = 0
+     OR w >= {linechunks.LONG_WORDS} OR coalesce(lead(w) OVER o, 0) >= {linechunks.LONG_WORDS} AS is_end
+  FROM line WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+told AS (
+  SELECT *, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
+  FROM ends),
+chunk AS (
+  SELECT doc_id, c, min(i) AS place, count(*) AS n, string_agg(l, chr(10) ORDER BY i) AS t,
+         max(w) >= {linechunks.LONG_WORDS} OR count(*) FILTER (WHERE w > 0) >= 2 AND sum(w) >= {linechunks.LEAST_WORDS} AS eligible
+  FROM told GROUP BY doc_id, c),
+marked AS (
+  SELECT *, eligible AND row_number() OVER (PARTITION BY t, eligible ORDER BY doc_id, place) > 1 AS gone FROM chunk),
+left_over AS (
+  SELECT doc_id, coalesce(string_agg(t, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text, count(*) FILTER (WHERE gone) AS removed_chunks,
+         coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS removed_lines
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, l.text, coalesce(removed_chunks, 0) AS removed_chunks, coalesce(removed_lines, 0) AS removed_lines
+FROM documents d LEFT JOIN left_over l USING (doc_id)
+"""
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives in the shared folder and read back."""
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
@@ -176,6 +209,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_warc": op4_warc,
     "op6_html_extraction": op6_html_extraction,
     "op7_url_filters": op7_url_filters,
@@ -184,6 +218,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_quality_rules": OP1_SQL,
+    "op3_line_dedup": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op8_secret_scans": OP8_SQL,
 }
