@@ -30,8 +30,8 @@ from orebed.llm.common import cut, keyed
 CAPACITY = 1024
 END_ID = 2
 PIECES = "doc_id {id}, piece int, start long, length long, ids binary"
-#: Text units whose ids a task remembers before it starts over.
-REMEMBERED = 400_000
+#: Text units whose ids a worker remembers; beyond that it keeps those met again.
+REMEMBERED = 600_000
 #: Pieces that one numbering group holds on average.
 GROUP_ROWS = 20_000
 
@@ -42,40 +42,61 @@ class UnitEncoder:
     The byte-level pre-tokenizer never joins what lies before a single space
     with what lies after it, so the ids of a text are those of its units, each
     with its leading space. Texts with wider gaps are encoded as one. Units not
-    seen before are encoded together, once per batch of texts.
+    seen before are encoded as one joined text; its ids are dealt back by the
+    bytes that each id stands for.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, "int64")
+        for token, at in vocabulary.items():  # one character stands for one byte, but in added tokens
+            self.bytes_of[at] = len(token.encode()) if token in special else len(token)
+        self.memo: dict[str, bytes] = {}
+        self.again: set[str] = set()  # units met in more than one batch
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _learn(self, units: list[str]) -> None:
+        for low in range(0, len(units), 4096):
+            part = units[low : low + 4096]
+            ids = self._encode([" " + " ".join(part)])[0]
+            starts = np.cumsum(self.bytes_of[np.frombuffer(ids, "<u4")])
+            ends = np.searchsorted(starts, np.cumsum([1 + len(x.encode()) for x in part])) + 1
+            at = 0
+            for unit, end in zip(part, (4 * ends).tolist(), strict=True):
+                self.memo[unit] = ids[at:end]
+                at = end
+
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.memo) > REMEMBERED:
+            self.memo = {x: self.memo[x] for x in self.again} if 2 * len(self.again) < REMEMBERED else {}
+            self.again = set()
         units = [t.split(" ") for t in texts]
-        if len(self.later) + len(self.first) > REMEMBERED:
-            self.first, self.later = {}, {}
-        whole = [
-            k for k, u in enumerate(units)
-            if len(u) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in u)
-        ]
-        for k in whole:
-            units[k] = [texts[k]]
-        for memo, new, lead in (
-            (self.first, {u[0] for u in units} - self.first.keys(), ""),
-            (self.later, {x for u in units for x in u[1:]} - self.later.keys(), " "),
-        ):
-            new = sorted(new)
-            for at in range(0, len(new), 4096):
-                part = new[at : at + 4096]
-                memo.update(zip(part, self._encode([lead + x for x in part]), strict=True))
-        first, later = self.first, self.later
-        return [first[u[0]] + b"".join([later[x] for x in u[1:]]) for u in units]
+        seen = {x for u in units for x in u[1:]}
+        new = seen - self.memo.keys()
+        self.again |= seen - new
+        wide = {x for x in new if not x or x[0].isspace() or x[-1].isspace()}
+        self._learn(sorted(new - wide))
+        whole = {k for k, u in enumerate(units) if len(u) > 1 and (u[0][-1:].isspace() or not u[0] or wide and not wide.isdisjoint(u[1:]))}
+        first = self._encode([texts[k] if k in whole else u[0] for k, u in enumerate(units)])
+        memo = self.memo
+        return [first[k] if k in whole else first[k] + b"".join([memo[x] for x in u[1:]]) for k, u in enumerate(units)]
+
+
+_ENCODERS: dict[str, UnitEncoder] = {}
+
+
+def encoder(path: str) -> UnitEncoder:
+    """The encoder of this worker process, kept between its tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = UnitEncoder(path)
+    return _ENCODERS[path]
 
 
 def token_pieces(
@@ -92,10 +113,10 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = UnitEncoder(path)
+        encode = encoder(path)
         for batch in batches:
-            for low in range(0, len(batch), 256):
-                part = batch.iloc[low : low + 256]
+            for low in range(0, len(batch), 512):
+                part = batch.iloc[low : low + 512]
                 made = []
                 for doc, ids in zip(part["doc_id"], encode([t or "" for t in part["text"]]), strict=True):
                     ids += end
