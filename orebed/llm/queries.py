@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.llm import htmlmain, linechunks, nearsets, packing, quality, secretscan, urlfilter, warc
+from orebed.llm import capfilters, htmlmain, linechunks, nearsets, packing, quality, secretscan, urlfilter, warc
 from orebed.llm.common import table
 from orebed.session import shared_dir
 
@@ -104,6 +104,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).drop("url")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.98."""
+    return capfilters.near_vectors(table(spark, sf_dir, "embeddings"), 0.98).withColumn(
+        "kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return htmlmain.extract(table(spark, sf_dir, "pages"))
@@ -211,6 +217,7 @@ QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_warc": op4_warc,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_html_extraction": op6_html_extraction,
     "op7_url_filters": op7_url_filters,
     "op8_secret_scans": op8_secret_scans,
