@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.llm import capfilters, htmlmain, linechunks, nearsets, packing, quality, secretscan, urlfilter, warc
+from orebed.llm import capfilters, htmlmain, linechunks, nearsets, packing, quality, secretscan, sentencepieces, urlfilter, warc
 from orebed.llm.common import table
 from orebed.session import shared_dir
 
@@ -204,6 +204,17 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text they decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentencepieces.encode(table(spark, sf_dir, "documents"), path)
+    return encoded.withColumn("text", sentencepieces.decoded(F.col("ids"), path)).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every token piece of every document."""
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -221,6 +232,7 @@ QUERIES = {
     "op6_html_extraction": op6_html_extraction,
     "op7_url_filters": op7_url_filters,
     "op8_secret_scans": op8_secret_scans,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLES = {
