@@ -115,7 +115,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     decided = removals(docs)
     whole = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text")).select("row", *_row_key())
     joined = whole.join(decided, ["k1", "k2"], "left")
-    clean = _without(F.when(F.col("starts").isNotNull(), F.col("row.text")), "starts", "sizes")
+    clean = _without.asNondeterministic()(F.when(F.col("starts").isNotNull(), F.col("row.text")), "starts", "sizes")
     told = joined.select("row", "starts", "sizes", clean.alias("clean"))
     return told.select(
         "row", F.when(F.col("starts").isNull(), F.col("row.text")).otherwise(F.col("clean")).alias("text"),
