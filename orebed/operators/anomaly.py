@@ -11,12 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orebed.functions.columns import number, quoted, zscore
-from orebed.functions.orderstats import exact_quantile, exact_quantiles, order_statistics
+from orebed.functions.orderstats import exact_quantile, exact_quantiles
 from orebed.functions.stats import chi2_quantile
 from orebed.operators.columns import moments
 from orebed.operators.correlation import covariance
-from orebed.operators.ranking import largest_gap, percentile_threshold
-from orebed.operators.sampling import sample_exact
+from orebed.operators.ranking import largest_gap, percentile_threshold, top_cut
 from orebed.session import cut_lineage
 
 
@@ -94,9 +93,6 @@ def mahalanobis(
 
 # -- isolation forest ---------------------------------------------------------
 
-POOL_ROWS = 50_000  # uniform sample from which every tree draws
-
-
 def _path_constant(n: np.ndarray | float) -> np.ndarray:
     """Mean path length of an unsuccessful search among n rows."""
     n = np.asarray(n, dtype=float)
@@ -129,19 +125,29 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> pd.DataFrame:
 def isolation_trees(
     df: DataFrame, cols: Sequence[str], trees: int = 100, psi: int = 256, seed: int = 42, key: str = "row_id"
 ) -> DataFrame:
-    """Node rows of the forest, one group of at most ``psi`` rows per tree."""
+    """Node rows of the forest, one group of at most ``psi`` rows per tree.
+
+    Every tree draws from all rows: those with its smallest seeded hashes. A cut
+    on the hashes leaves about four times ``psi`` rows per tree to be ranked; it
+    is raised for as long as a tree falls short of rows that the table has.
+    """
     names = list(cols)
-    pool = sample_exact(df.select(key, *names).na.drop("any"), POOL_ROWS, seed, key)
-    size = min(df.count(), POOL_ROWS)
-    # a generous random share per tree goes to the shuffle, then exactly psi rows stay
-    share = min(1.0, 4.0 * psi / max(size, 1))
-    draw = F.pmod(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), F.lit(2**53))
+    rows = df.select(key, *names).na.drop("any")
+    size = rows.count()
+    wanted = min(psi, size)
+    factor = 4.0
+    while True:
+        share = min(1.0, factor * psi / max(size, 1))
+        cut = F.lit(int(share * 2**53))
+        draw = lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(2**53))
+        mine = F.filter(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+            t.alias("tree"), draw(t).alias("_h"))), lambda x: x["_h"] < cut)
+        likely = rows.withColumn("_d", F.explode(mine)).select(key, *names, "_d.tree", "_d._h")
+        if share >= 1.0 or likely.groupBy("tree").count().where(F.col("count") >= wanted).count() == trees:
+            break
+        factor *= 4
     per_tree = Window.partitionBy("tree").orderBy("_h", key)
-    drawn = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("_h", draw).where(F.col("_h") < F.lit(int(share * 2**53)))
-        .withColumn("_rn", F.row_number().over(per_tree)).where(F.col("_rn") <= psi)
-    )
+    drawn = likely.withColumn("_rn", F.row_number().over(per_tree)).where(F.col("_rn") <= psi)
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         tree = int(rows["tree"].iloc[0])
@@ -171,28 +177,29 @@ def isolation_forest(
     scores = isolation_scores(df, cols, trees, psi, seed, key, out)
     scores = cut_lineage(scores)  # scored once, read again for the cut-off
     cut = exact_quantile(scores, out, 1 - contamination)
-    return scores.withColumn(flag, F.col(out) > F.lit(cut))
+    return scores.withColumn(flag, F.coalesce(F.col(out) > F.lit(cut), F.lit(False)))
 
 
 def isolation_scores(
     df: DataFrame, cols: Sequence[str], trees: int = 100, psi: int = 256, seed: int = 42,
     key: str = "row_id", out: str = "if_score",
 ) -> DataFrame:
-    """(key, score) for every row without nulls."""
+    """(key, score) of every row; the score is null where a feature is."""
     names = list(cols)
     nodes = isolation_trees(df, names, trees, psi, seed, key).toPandas().sort_values(["tree", "node"])
     forest = [
         (t["feature"].to_numpy(), t["cut"].to_numpy(), t["left"].to_numpy(), t["path"].to_numpy())
         for _, t in nodes.groupby("tree")
     ]
-    norm = float(_path_constant(nodes["rows"].max()))
+    norm = float(_path_constant(nodes["rows"].max())) if len(nodes) else 0.0
     shared = df.sparkSession.sparkContext.broadcast((forest, norm))
-    rows = df.select(key, *names).na.drop("any")
+    rows = df.select(key, *names)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grown, c = shared.value
         for batch in batches:
             x = batch[names].to_numpy(dtype=float)
+            known = ~np.isnan(x).any(axis=1)
             depth = np.zeros(len(x))
             for feature, cut, left, path in grown:
                 at = np.zeros(len(x), dtype=int)
@@ -202,7 +209,8 @@ def isolation_scores(
                     at[open_] = left[node] + (x[open_, feature[node]] > cut[node])
                     open_ = open_[feature[at[open_]] >= 0]
                 depth += path[at]
-            yield pd.DataFrame({key: batch[key], out: 2.0 ** (-depth / (len(grown) * c))})
+            found = np.where(known, 2.0 ** (-depth / (len(grown) * c)), np.nan) if c > 0 else np.where(known, 0.5, np.nan)
+            yield pd.DataFrame({key: batch[key], out: pd.Series(found, index=batch.index).astype("Float64")})
 
     return rows.mapInPandas(score, f"{key} {df.schema[key].dataType.simpleString()}, {out} double")
 
@@ -243,9 +251,7 @@ def consensus_sensitivity(df: DataFrame, base: Sequence[str], masks: dict[str, C
 def score_cutoffs(df: DataFrame, score: str, flag: str, gap: tuple[float, float] = (0.0005, 0.05), share: float = 0.05) -> dict[str, Column]:
     """Alternative masks of a score: at its largest gap, the given flag, and a top share."""
     g = largest_gap(df, score, *gap)
-    n = df.count()
-    k = max(int(n * share), 1)
-    cut = order_statistics(df, {score: [n - k]})[score, n - k]
+    cut = top_cut(df, score, share)
     return {
         "gap": F.col(score) >= F.lit(g.threshold),
         "flag": F.col(flag),

@@ -70,14 +70,16 @@ def inertia(df: DataFrame, centers: Centers) -> DataFrame:
 
 
 def hierarchical_bisect(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, out: str = "segment") -> DataFrame:
-    """Divisive hierarchy cut at ``k`` leaves, fitted on all rows."""
-    data = _vectors(df, cols, *df.columns).persist()
-    try:
-        model = BisectingKMeans(k=k, seed=seed).fit(data)
-        points = sorted(tuple(float(x) for x in c) for c in model.clusterCenters())
-    finally:
-        data.unpersist()
-    return assign_nearest(df, Centers(tuple(cols), tuple(points), 0.0), out)
+    """Divisive hierarchy cut at ``k`` leaves, fitted on all rows.
+
+    Labels are the model's own, along the tree, numbered by the leaves' sorted centres.
+    """
+    model = BisectingKMeans(k=k, seed=seed, predictionCol="_leaf").fit(_vectors(df, cols))
+    centers = [tuple(float(x) for x in c) for c in model.clusterCenters()]
+    order = sorted(range(len(centers)), key=centers.__getitem__)
+    number_of = F.array(*[F.lit(order.index(leaf)) for leaf in range(len(centers))])
+    return model.transform(_vectors(df, cols, *df.columns)).withColumn(out, F.get(number_of, F.col("_leaf"))).select(
+        *df.columns, out)
 
 
 def silhouette_samples(
@@ -187,10 +189,12 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
         pick("cells").alias("s"), pick("rows").alias("ra"), pick("cols").alias("rb"),
         pairs_of(F.sum(F.when(F.col("part") == "cells", F.col("n")))).alias("t"),
     )
-    expected = F.col("ra") * F.col("rb") / F.col("t")
+    expected = F.try_divide(F.col("ra") * F.col("rb"), F.col("t"))
     best = (F.col("ra") + F.col("rb")) / 2
+    # without any pair of rows both labelings agree
+    alike = F.coalesce(best == expected, F.lit(True))
     return totals.select(
-        F.when(best == expected, F.lit(1.0)).otherwise((F.col("s") - expected) / (best - expected)).alias("ari")
+        F.when(alike, F.lit(1.0)).otherwise(F.try_divide(F.col("s") - expected, best - expected)).alias("ari")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from orebed.functions.columns import quoted
 from orebed.functions.orderstats import aggregate_row
 
-EXPRESSION_PAIRS = 200  # pairs computed as plain aggregates in one pass
+EXPRESSION_PAIRS = 200  # pairs computed as plain aggregates in one pass; the result is the same beyond
+ROUNDING = 1e-12  # variance, as a share of the sum of squares, that rounding alone can leave
 GRAM_SCHEMA = (
     "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 )
@@ -25,7 +27,7 @@ def _gram_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     p(p+1)/2 rows, whatever the number of input rows. Values are centred by the
     column means first, so that squares do not cancel.
     """
-    means = aggregate_row(df, [F.avg(c) for c in cols])
+    means = aggregate_row(df, [F.avg(F.nanvl(F.col(quoted(c)).cast("double"), F.lit(None))) for c in cols])
     shift = np.array([m if m is not None else 0.0 for m in means])
     p = len(cols)
 
@@ -47,24 +49,38 @@ def _gram_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
 
 
+def _pair_sql(a: str, b: str) -> str:
+    """Struct of n, variances and covariance over the complete rows of a pair, and the ends of both sides."""
+    x, y = (f"nullif(CAST({quoted(c)} AS DOUBLE), DOUBLE('NaN'))" for c in (a, b))
+    x, y = f"IF({y} IS NULL, NULL, {x})", f"IF({x} IS NULL, NULL, {y})"
+    return (
+        f"struct(min({x}) AS x0, max({x}) AS x1, min({y}) AS y0, max({y}) AS y1, "
+        f"var_pop({x}) AS vx, var_pop({y}) AS vy, covar_pop({x}, {y}) AS c)"
+    )
+
+
 def pair_correlations(df: DataFrame, cols: Sequence[str]) -> list[tuple[str, str, float | None]]:
-    """(a, b, r) for the strict upper triangle; rows with a null in the pair are skipped."""
+    """(a, b, r) for the strict upper triangle; rows with a null or NaN in the pair are skipped.
+
+    r is null where either side does not vary among the complete rows. The
+    p (p - 1) / 2 numbers come to the driver: meant for some thousand columns.
+    """
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if len(pairs) <= EXPRESSION_PAIRS:
-        vals = aggregate_row(df, [
-            F.expr(f"corr(CAST({quoted(cols[i])} AS DOUBLE), CAST({quoted(cols[j])} AS DOUBLE))") for i, j in pairs
-        ])
-        return [
-            (cols[i], cols[j], None if r is None or np.isnan(r) else r) for (i, j), r in zip(pairs, vals)
-        ]
+        out = []
+        found = aggregate_row(df, [F.expr(_pair_sql(cols[i], cols[j])) for i, j in pairs], 40)
+        for (i, j), v in zip(pairs, found):
+            varies = v["x0"] is not None and v["x0"] < v["x1"] and v["y0"] < v["y1"] and v["vx"] * v["vy"] > 0
+            out.append((cols[i], cols[j], v["c"] / math.sqrt(v["vx"] * v["vy"]) if varies else None))
+        return out
     found = {}
     for r in _gram_sums(df, cols).where("i < j").collect():
         if r["n"] > 1:
             cov = r["sxy"] - r["sx"] * r["sy"] / r["n"]
             vx = r["sxx"] - r["sx"] ** 2 / r["n"]
             vy = r["syy"] - r["sy"] ** 2 / r["n"]
-            if vx > 0 and vy > 0:
+            if vx > ROUNDING * r["sxx"] and vy > ROUNDING * r["syy"]:
                 found[r["i"], r["j"]] = cov / np.sqrt(vx * vy)
     return [(cols[i], cols[j], float(found[i, j]) if (i, j) in found else None) for i, j in pairs]
 

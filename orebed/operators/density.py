@@ -221,8 +221,8 @@ class DensityParams:
 
 
 def dbscan_params(df: DataFrame, cols: Sequence[str], key: str = "row_id") -> DensityParams:
-    """``min_samples`` = round(ln n) and ``eps`` at the knee of the k-distance curve."""
-    min_samples = round(math.log(df.count()))
+    """``min_samples`` = round(ln n) over the rows with coordinates, and ``eps`` at the knee of the k-distance curve."""
+    min_samples = max(1, round(math.log(max(1, df.select(*cols).na.drop("any").count()))))
     knee = k_distance_knee(k_distance_points(df, cols, [min_samples], key), min_samples)
     return DensityParams(min_samples, knee.value, knee.rank)
 

@@ -168,11 +168,10 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFra
 
 
 def value_share(df: DataFrame, col: str) -> DataFrame:
-    """Row count and percentage of each value."""
-    total = df.count()
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "pct", F.col("n") / F.lit(float(total)) * 100
-    )
+    """Row count and percentage of each value; the total is one row, from the same grouped counts."""
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").cast("double")).scalar()
+    return counts.withColumn("pct", F.col("n") / total * 100)
 
 
 def distinct_sorted(df: DataFrame, col: str) -> DataFrame:

@@ -95,9 +95,15 @@ def percentile_threshold(df: DataFrame, score: str, prob: float, subset=None) ->
     return exact_quantile(df if subset is None else df.where(subset), score, prob)
 
 
+def top_cut(df: DataFrame, score: str, share: float) -> float | None:
+    """Score at rank ``n*share`` from the top among the n rows that have one."""
+    n = df.where(F.col(score).isNotNull()).count()
+    if not n:
+        return None
+    at = n - max(int(n * share), 1)
+    return order_statistics(df, {score: [at]})[score, at]
+
+
 def top_fraction(df: DataFrame, score: str, share: float, out: str = "in_top") -> DataFrame:
     """Flag the rows at or above the score of rank ``n*share`` (ties included)."""
-    n = df.where(F.col(score).isNotNull()).count()
-    k = max(int(n * share), 1)
-    cut = order_statistics(df, {score: [n - k]})[score, n - k]
-    return df.withColumn(out, F.coalesce(F.col(score) >= F.lit(cut), F.lit(False)))
+    return df.withColumn(out, F.coalesce(F.col(score) >= F.lit(top_cut(df, score, share)), F.lit(False)))

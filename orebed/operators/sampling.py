@@ -12,6 +12,7 @@ from orebed.functions.columns import clip, sampling_hash
 from orebed.functions.orderstats import order_statistics
 
 TOP_ROWS = 100_000     # largest sample taken as one top-n merge
+TOP_SLICES = 64  # parts of a group that are ranked before they meet
 PLAIN_ROWS = 1_000_000  # tables whose tasks may each offer n rows to that merge
 
 
@@ -43,14 +44,36 @@ def sample_exact(df: DataFrame, n: int, seed: int, key: str | Sequence[str] = "r
     return below.unionByName(ties).drop("_h", "_v")
 
 
+def _below_cuts(df: DataFrame, by: Sequence[str], n: int, value: str) -> DataFrame:
+    """Rows of ``df`` that can be among the ``n`` smallest ``value`` (uniform in [0, 1)) of their group.
+
+    Group sizes give each group a cut that leaves a little more than ``n`` rows;
+    groups that fall short get a wider one, until none does.
+    """
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    slack = 8 * math.sqrt(n) + 50
+    while True:
+        named = sizes.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], ((n + slack) / F.col("_n")).alias("_cut"), "_n")
+        match = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)]
+        cut = df.join(named, match).where(F.col(value) < F.col("_cut"))
+        left = cut.groupBy(*[f"_g{i}" for i in range(len(by))]).agg(F.count(F.lit(1)).alias("_left"), F.first("_n").alias("_n"))
+        met = left.agg(F.count(F.lit(1)), F.count_if(F.col("_left") < F.least(F.lit(n), F.col("_n")))).first()
+        if not met[1] and met[0] == sizes.count():
+            return cut.drop("_cut", "_n", *[f"_g{i}" for i in range(len(by))])
+        slack *= 4
+
+
 def stratified_sample(df: DataFrame, by: str, n: int, seed: int, key: str = "row_id") -> DataFrame:
-    """``min(n, group size)`` rows of each group.
+    """``min(n, group size)`` rows of each group: those with the smallest seeded key hash.
 
-    The rank filter is applied in the map tasks too, so a large group sends at
-    most ``n`` rows per task to the shuffle.
+    Only rows below a hash cut of their group are ranked, about ``n`` of each,
+    so a large group is never gathered.
     """
-    w = Window.partitionBy(by).orderBy(sampling_hash(F.col(key), seed), key)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    hashed = df.withColumn("_h", sampling_hash(F.col(key), seed))
+    hashed = hashed.withColumn("_v", F.conv(F.substring("_h", 1, 13), 16, 10).cast("double") / 2.0**52)
+    w = Window.partitionBy(by).orderBy("_h", key)
+    few = _below_cuts(hashed, [by], n, "_v")
+    return few.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn", "_h", "_v")
 
 
 def union_samples(parts: Sequence[DataFrame]) -> DataFrame:
@@ -80,6 +103,13 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
 
 
 def top_k_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Column | str], k: int, rank: str = "rank") -> DataFrame:
-    """First ``k`` rows of each group, with their rank."""
-    w = Window.partitionBy(by).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
+    """First ``k`` rows of each group, with their rank.
+
+    Rows are first ranked within hashed slices of their group, each slice sends
+    on its first ``k``, and only these are ranked together.
+    """
+    keys = [by] if isinstance(by, str) else list(by)
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(TOP_SLICES)))
+    inner = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    first = sliced.withColumn("_rn", F.row_number().over(inner)).where(F.col("_rn") <= k).drop("_rn", "_slice")
+    return first.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= k)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +31,13 @@ def build_session(app: str = "orebed", master: str | None = None, **conf) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the session's checkpoint folder.
 
-    A folder of our own is made only in local mode, where every task sees the
-    same disk; on a cluster the setting must name shared storage.
+    Where no such folder is set, as in tests, it is one below the warehouse,
+    which all tasks of a session reach by definition.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to shared storage")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="orebed-"))
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/orebed-tables")
     return sc.getCheckpointDir()
 
 
@@ -53,4 +50,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._cut_path = path
+    return table
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete tables of ``cut_lineage`` that no later plan reads."""
+    for table in tables:
+        path = getattr(table, "_cut_path", None)
+        if path is not None:
+            jvm = table.sparkSession._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+            table._cut_path = None
