@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from orebed.llm.common import cut, tasks_for
 from orebed.operators.components import connected_components
 
-HITS = 24.0  # filters that hold a vector, on average
-LEAST_HITS = 24  # a vector in fewer caps also joins those that it comes closest to
+HITS = 32.0  # filters that hold a vector, on average
+LEAST_HITS = 32  # a vector in fewer caps also joins those that it comes closest to
 DEEPER = 16.0  # how much wider the caps are that a vector may join so
 CROWD = 4.0  # unrelated vectors of a label in a filter, on average
 WIDEST = 0.02  # largest share of directions in a cap
@@ -64,9 +64,13 @@ def _cap_share(dim: int, height: float) -> float:
 
 
 @lru_cache(maxsize=64)
-def cap_plan(dim: int, rows: int) -> CapPlan:
-    """Caps such that about CROWD of ``rows`` unrelated vectors and HITS filters meet a vector."""
-    share = min(WIDEST, CROWD / max(rows, 1))
+def cap_plan(dim: int, rows: int, least: float = 0.98) -> CapPlan:
+    """Caps such that about CROWD of ``rows`` unrelated vectors and HITS filters meet a vector.
+
+    A cap is at least twice as wide as the angle of the pairs to be found, which
+    matters where vectors are short.
+    """
+    share = max(min(WIDEST, CROWD / max(rows, 1)), _cap_share(dim, max(0.0, 2 * least**2 - 1) if least > 0 else 0.0))
 
     def height(aim: float) -> float:
         low, high = 0.0, 1.0
@@ -117,13 +121,13 @@ def decode(vectors: np.ndarray, plan: CapPlan) -> list[np.ndarray]:
     return np.split(code, np.searchsorted(row, np.arange(1, len(vectors))))
 
 
-def filter_lists(classes: DataFrame, rows: int) -> DataFrame:
+def filter_lists(classes: DataFrame, rows: int, least: float) -> DataFrame:
     """(cid, filters) of every class; a narrow pass."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, group in batch.groupby(batch["embedding"].map(len)):
-                plan = cap_plan(int(dim), rows)
+                plan = cap_plan(int(dim), rows, least)
                 for low in range(0, len(group), 128):
                     part = group.iloc[low : low + 128]
                     found = decode(unit_rows(np.array(part["embedding"].tolist(), "float64")), plan)
@@ -200,7 +204,7 @@ def _compare(run: pd.DataFrame, least: float) -> pd.DataFrame:
 
 def _links(classes: DataFrame, rows: int, least: float) -> DataFrame:
     """(cid, links, root) summed over nothing yet: one row per class and task in which it has links."""
-    lists = cut(filter_lists(classes, rows))
+    lists = cut(filter_lists(classes, rows, least))
     group = F.xxhash64("label", F.size("embedding"))
     owners = classes.select("cid", group.alias("group"))
     hits = cut(lists.join(owners, "cid").select("cid", "group", F.explode("filters").alias("filter")))

@@ -16,6 +16,7 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -44,6 +45,8 @@ NAMES = frozenset(
     "sponsored subscribe subscription toolbar topbar widget".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
+_OPEN_MARKUP = re.compile(r"<[A-Za-z/!?]")
+
 SIGMA = 1.0  # of the smoothing, in lines
 ROOT_WEIGHT = 4.0  # of lines inside an article or main element
 
@@ -138,6 +141,8 @@ class _Lines(HTMLParser):
             self.text.append(data)
 
     def close(self) -> None:
+        if _OPEN_MARKUP.match(self.rawdata):  # a tag or comment that the page ends in is no text
+            self.rawdata = ""
         super().close()
         self._cut()
 

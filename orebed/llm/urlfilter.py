@@ -1,9 +1,9 @@
 """URL filters by a path-template tree.
 
 Paths become templates, host by host and level by level: segments with digits
-are number wildcards, levels with many rare values become ``*``, and sibling
-branches whose labelled share of bad pages does not differ from their parent's
-are merged. A template is rejected when its smoothed share of bad pages is high;
+are number wildcards, levels with many rare values become ``*``, and so do sibling
+branches whose labelled share of bad pages does not differ from their parent's;
+those that differ are merged into ``*0``, ``*1``, ... by their smoothed share. A template is rejected when its smoothed share of bad pages is high;
 templates with little evidence lean on their host and hosts on all pages.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
@@ -41,6 +41,7 @@ class TreeConfig:
     min_values: int = 16  # fewer distinct values at a level stay literal
     rows_per_value: float = 4.0  # a level is variable when its values occur less often on average
     z: float = 1.96  # branches closer than this many standard errors to their parent are merged
+    bands: int = 4  # classes of shares in which branches unlike their parent are merged
     strength: float = 20.0  # labelled pages that a parent's share counts for
     reject: float = 0.5  # share of bad pages from which a template is blocked
 
@@ -93,8 +94,12 @@ def templates(skeletons: DataFrame, config: TreeConfig = TreeConfig()) -> DataFr
         error = F.sqrt(F.col("c_labelled") * rate * (1 - rate))
         like = F.coalesce(F.abs(F.try_divide(F.col("c_bad") - F.col("c_labelled") * rate, error)) < config.z, F.lit(True))
         variable = (F.col("p_values") >= config.min_values) & (F.col("p_n") < config.rows_per_value * F.col("p_values"))
+        # branches unlike their parent are merged with those of about the same share
+        share = _share("c_bad", "c_labelled", rate, config.strength)
+        band = F.least(F.floor(share * config.bands), F.lit(config.bands - 1))
         merged = children.join(parents, ["host", "template"]).select(
-            "host", "template", "segment", F.when(variable | like, F.lit("*")).otherwise(F.col("segment")).alias("general"))
+            "host", "template", "segment",
+            F.when(variable | like, F.lit("*")).otherwise(F.concat(F.lit("*"), band.cast("string"))).alias("general"))
         state = cut(
             state.join(merged, ["host", "template", "segment"], "left").withColumn(
                 "template", F.concat("template", F.coalesce(F.concat(F.lit("/"), F.col("general")), F.lit("")))
