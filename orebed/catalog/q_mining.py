@@ -50,7 +50,7 @@ def scaled(spark, sf):
 @query("c1_kmeans")
 def c1(spark, sf):
     df = scaled(spark, sf)
-    return K.assign_nearest(df, K.kmeans_fit(df, NUMERIC, 2, 3)).select("row_id", "cluster")
+    return K.assign_nearest(df, K.kmeans_fit(df, NUMERIC, 2, 10)).select("row_id", "cluster")
 
 
 CENTERS = K.Centers(("o_totalprice", "c_acctbal"), ((100000.0, 2000.0), (250000.0, 8000.0), (400000.0, 4000.0)), 0.0)
@@ -68,7 +68,7 @@ def c3(spark, sf):
 
 
 SIL = """
-pick AS (SELECT row_id, x, y, big FROM cust ORDER BY md5(concat_ws('_', row_id, 42)) LIMIT 8000),
+pick AS (SELECT row_id, x, y, big FROM cust),
 d AS (SELECT a.row_id, a.big AS mine, b.big AS theirs, sum(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2)) AS s, count(*) AS n
       FROM pick a, pick b GROUP BY 1, 2, 3),
 sil AS (SELECT row_id, mine AS big, CASE WHEN max(n) FILTER (theirs = mine) = 1 THEN 0.0 ELSE
@@ -80,7 +80,7 @@ sil AS (SELECT row_id, mine AS big, CASE WHEN max(n) FILTER (theirs = mine) = 1
 
 @query("c4_silhouette", f"{CU}, {SIL} SELECT count(*) AS n, {r6('avg(silhouette)')} AS silhouette FROM sil")
 def c4(spark, sf):
-    return rounded(K.silhouette_exact(points(spark, sf), XY, "big"), ["silhouette"])
+    return rounded(K.silhouette_exact(points(spark, sf), XY, "big", None), ["silhouette"])
 
 
 @query("c5_silhouette_fast", CU + ", g AS (SELECT big AS g, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x + y * y) AS q FROM cust GROUP BY 1), d AS (SELECT row_id, big, g, n, (x * x + y * y) * n + q - 2 * (x * sx + y * sy) AS s FROM cust, g), s AS (SELECT row_id, max(s / (n - 1)) FILTER (g = big) AS a, min(s / n) FILTER (g <> big) AS b FROM d GROUP BY row_id, big) SELECT " + r6("avg((b - a) / greatest(a, b))") + " AS silhouette FROM s")
@@ -91,7 +91,7 @@ def c5(spark, sf):
 
 @query("c6_silhouette_samples", f"{CU}, {SIL} SELECT row_id, big, {r6('silhouette')} AS silhouette FROM sil")
 def c6(spark, sf):
-    return rounded(K.silhouette_samples(points(spark, sf), XY, "big"), ["silhouette"])
+    return rounded(K.silhouette_samples(points(spark, sf), XY, "big", None), ["silhouette"])
 
 
 @query("c7_cluster_sizes", CU + "SELECT big, count(*) AS n, " + r6("count(*) * 100.0 / sum(count(*)) OVER ()") + " AS pct FROM cust GROUP BY 1")
@@ -161,7 +161,7 @@ def c11(spark, sf):
 
 @query("c12_dbscan_sweep")
 def c12(spark, sf):
-    return D.dbscan_sweep(points(spark, sf), XY, (5, 10, 20))
+    return D.dbscan_sweep(points(spark, sf), XY, (5, 10, 12, 15, 20, 30, 50))
 
 
 @query("c13_noise_share", reach_cte(EPS, MIN_SAMPLES) + " SELECT is_noise, count(*) AS n, " + r6("count(*) * 100.0 / sum(count(*)) OVER ()") + " AS pct FROM db GROUP BY 1")
@@ -215,14 +215,14 @@ def c18b(spark, sf):
 @query("c19_compare_algorithms")
 def c19(spark, sf):
     pts = points(spark, sf)
-    fit = K.kmeans_fit(pts, XY, 2, 2)
+    fit = K.kmeans_fit(pts, XY, 2, 10)
     labels = cut_lineage(K.hierarchical_bisect(K.assign_nearest(pts, fit), XY, 2))
     noise = D.dbscan(pts, XY, EPS, MIN_SAMPLES)
     one = lambda df, name, role, metric: df.select(
         F.lit(name).alias("algorithm"), F.lit(role).alias("role"), metric.alias("metric")
     )
     return K.compare_algorithms([
-        one(K.silhouette_exact(labels, XY, "cluster"), "k-means", "segments", F.col("silhouette")),
+        one(K.silhouette_exact(labels, XY, "cluster", None), "k-means", "segments", F.col("silhouette")),
         one(K.adjusted_rand(labels, "cluster", "segment"), "bisecting", "agreement", F.col("ari")),
         one(noise.agg((F.avg("is_noise") * 100).alias("v")), "dbscan", "noise share", F.col("v")),
     ])
@@ -254,21 +254,25 @@ BASKETS = FP + """, items AS (SELECT row_id,
   CASE WHEN n_lines <= 2 THEN 'few' WHEN n_lines <= 5 THEN 'some' ELSE 'many' END AS lines,
   o_orderstatus AS status, c_mktsegment AS segment, o_orderpriority AS priority FROM fullp),
 b AS (SELECT row_id, list_sort([""" + ", ".join(f"concat('{c}_', {c})" for c in ITEMS) + """]) AS items FROM items),
-i AS (SELECT row_id, unnest(items) AS item FROM b),
+i AS MATERIALIZED (SELECT row_id, unnest(items) AS item FROM b),
 n AS (SELECT count(*) AS total FROM b),
-sets AS (
+sets AS MATERIALIZED (
   SELECT [item] AS items, count(*) AS n FROM i GROUP BY ALL
   UNION ALL SELECT [a.item, c.item], count(*) FROM i a JOIN i c ON a.row_id = c.row_id AND a.item < c.item GROUP BY ALL
   UNION ALL SELECT [a.item, c.item, d.item], count(*) FROM i a JOIN i c ON a.row_id = c.row_id AND a.item < c.item JOIN i d ON d.row_id = a.row_id AND c.item < d.item GROUP BY ALL
   UNION ALL SELECT [a.item, c.item, d.item, e.item], count(*) FROM i a JOIN i c ON a.row_id = c.row_id AND a.item < c.item JOIN i d ON d.row_id = a.row_id AND c.item < d.item JOIN i e ON e.row_id = a.row_id AND d.item < e.item GROUP BY ALL),
-freq AS (SELECT items, len(items) AS size, sets.n, sets.n / total AS support FROM sets, n WHERE sets.n >= ceil(0.04 * total - 1e-9)),
-halves AS (SELECT f.items, f.support, g.items AS antecedent, list_filter(f.items, lambda v: NOT list_contains(g.items, v)) AS consequent, g.support AS sa
-           FROM freq f JOIN freq g ON g.size < f.size AND list_has_all(f.items, g.items)),
-rules AS (SELECT array_to_string(antecedent, ', ') AS antecedents, array_to_string(consequent, ', ') AS consequents, antecedent, consequent, h.support,
+freq AS MATERIALIZED (SELECT items, array_to_string(items, '|') AS key, len(items) AS size, sets.n, sets.n / total AS support FROM sets, n WHERE sets.n >= ceil(0.04 * total - 1e-9)),
+parts AS MATERIALIZED (
+  SELECT items, support, list_filter(items, lambda v, k: (m >> (k - 1)) & 1 = 1) AS antecedent,
+         list_filter(items, lambda v, k: (m >> (k - 1)) & 1 = 0) AS consequent
+  FROM freq, (SELECT unnest(range(1, 15)) AS m) WHERE m < (1 << size) - 1),
+halves AS MATERIALIZED (SELECT f.items, f.support, f.antecedent, f.consequent, g.support AS sa
+  FROM parts f JOIN freq g ON g.key = array_to_string(f.antecedent, '|')),
+rules AS MATERIALIZED (SELECT array_to_string(antecedent, ', ') AS antecedents, array_to_string(consequent, ', ') AS consequents, antecedent, consequent, h.support,
                  h.support / sa AS confidence, h.support / sa / k.support AS lift, h.support - sa * k.support AS leverage,
                  CASE WHEN h.support / sa < 1 THEN (1 - k.support) / (1 - h.support / sa) END AS conviction
-          FROM halves h JOIN freq k ON k.items = h.consequent),
-kept AS (SELECT * FROM rules WHERE lift > 1.02 AND confidence > 0.3)
+          FROM halves h JOIN freq k ON k.key = array_to_string(h.consequent, '|')),
+kept AS MATERIALIZED (SELECT * FROM rules WHERE lift > 1.02 AND confidence > 0.3)
 """
 
 
@@ -419,7 +423,7 @@ def d5(spark, sf):
 
 @query("d6_isolation_scores")
 def d6(spark, sf):
-    return A.isolation_scores(full(spark, sf), M2, trees=50, psi=128).select("row_id", "if_score")
+    return A.isolation_scores(full(spark, sf), M2).select("row_id", "if_score")
 
 
 WINDOWS = [(0.0005, 0.05), (0.0002, 0.03), (0.001, 0.05), (0.0005, 0.10)]
@@ -445,12 +449,15 @@ def flagged(spark, sf):
 
 
 @query("d8_consensus_sensitivity", FP + FLAGGED + ", c AS (SELECT *, CAST(flag_iqr AS INTEGER) + CAST(flag_z AS INTEGER) AS base, "
-       "(SELECT v FROM (SELECT maha_dist2 AS v, row_number() OVER (ORDER BY maha_dist2 DESC) AS rk FROM md), (SELECT count(*) AS n FROM md) WHERE rk = floor(n * 0.05)) AS top5 FROM fl) "
+       "(SELECT v FROM (SELECT maha_dist2 AS v, row_number() OVER (ORDER BY maha_dist2 DESC) AS rk FROM md), (SELECT count(*) AS n FROM md) WHERE rk = floor(n * 0.05)) AS top5, "
+       "(SELECT v FROM (SELECT maha_dist2 AS v, row_number() OVER (ORDER BY maha_dist2 DESC) AS rk, maha_dist2 - lead(maha_dist2) OVER (ORDER BY maha_dist2 DESC) AS gap, count(*) OVER () AS n FROM md) "
+       "WHERE rk > floor(n * 0.0005) AND rk < floor(n * 0.05) ORDER BY round(gap, 9) DESC, rk LIMIT 1) AS at_gap FROM fl) "
+       "SELECT 'gap' AS cutoff, count(*) FILTER (maha_dist2 >= at_gap - 1e-9) AS flagged, count(*) FILTER (base + CAST(maha_dist2 >= at_gap - 1e-9 AS INTEGER) >= 2) AS confirmed FROM c UNION ALL "
        "SELECT 'flag' AS cutoff, count(*) FILTER (flag_maha) AS flagged, count(*) FILTER (base + CAST(flag_maha AS INTEGER) >= 2) AS confirmed FROM c UNION ALL SELECT 'top_0.05', count(*) FILTER (maha_dist2 >= top5), count(*) FILTER (base + CAST(maha_dist2 >= top5 AS INTEGER) >= 2) FROM c")
 def d8(spark, sf):
     df = cut_lineage(flagged(spark, sf))
     masks = A.score_cutoffs(df, "maha_dist2", "flag_maha")
-    return A.consensus_sensitivity(df, ["flag_iqr", "flag_z"], masks).where("cutoff <> 'gap'")
+    return A.consensus_sensitivity(df, ["flag_iqr", "flag_z"], masks)
 
 
 @query("d9_consensus", FP + FLAGGED + " SELECT row_id, n_methods, CAST(n_methods >= 1 AS INTEGER) AS candidate, CAST(n_methods >= 2 AS INTEGER) AS confirmed FROM cs")

@@ -322,17 +322,34 @@ def w12(spark, sf):
 PRUNE = ["o_totalprice", "c_acctbal", "n_lines", "qty_sum", "price_sum", "disc_avg", "tax_avg", "span_days"]
 
 
-@query("f1_prune_correlated", "WITH " + FULL + ", u AS (" + union(f"SELECT '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) AS r FROM fullp" for i, a in enumerate(PRUNE) for b in PRUNE[i + 1:])
-       + "), s AS (SELECT * FROM u WHERE r > 0.85) SELECT count(*) AS strong_pairs, " + r6("max(r)") + " AS strongest FROM s")
+# the stronger pair is settled first; the column of lower priority goes, never the target
+PRUNED = (
+    "WITH RECURSIVE " + FULL + ", names AS (SELECT unnest(" + str(PRUNE) + ") AS feature, unnest(range(1, " + str(len(PRUNE) + 1) + ")) AS place), "
+    "u AS (" + union(f"SELECT '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) AS r FROM fullp" for i, a in enumerate(PRUNE) for b in PRUNE[i + 1:]) + "), "
+    "s AS MATERIALIZED (SELECT a, b, r, row_number() OVER (ORDER BY round(r, 9) DESC, x.place, y.place) AS i, "
+    "CASE WHEN b = 'o_totalprice' THEN a WHEN a = 'o_totalprice' THEN b WHEN b = 'price_sum' THEN a ELSE b END AS worse "
+    "FROM u JOIN names x ON x.feature = a JOIN names y ON y.feature = b WHERE r > 0.85), "
+    "g(i, lost) AS (SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]) UNION ALL SELECT s.i, CASE WHEN list_contains(lost, a) OR list_contains(lost, b) THEN lost ELSE list_append(lost, worse) END FROM g JOIN s ON s.i = g.i + 1), "
+    "final AS (SELECT lost FROM g ORDER BY i DESC LIMIT 1) "
+)
+
+
+def pruned(spark, sf):
+    return S.prune_correlated(full_profile(spark, sf), PRUNE, 0.85, ["o_totalprice", "price_sum"], "o_totalprice")
+
+
+@query("f1_prune_correlated", PRUNED + "SELECT count(*) AS strong_pairs, " + r6("max(r)") + f" AS strongest, {len(PRUNE)} - (SELECT len(lost) FROM final) AS kept FROM s")
 def f1(spark, sf):
     pairs = R.pair_correlations(full_profile(spark, sf), PRUNE)
     strong = spark.createDataFrame(pairs, "a string, b string, r double").where("abs(r) > 0.85")
-    return rounded(strong.agg(F.count(F.lit(1)).alias("strong_pairs"), F.max(F.abs("r")).alias("strongest")), ["strongest"])
+    kept = [c for c in pruned(spark, sf)[0].columns if c in PRUNE]
+    return rounded(strong.agg(
+        F.count(F.lit(1)).alias("strong_pairs"), F.max(F.abs("r")).alias("strongest"), F.lit(len(kept)).cast("long").alias("kept")), ["strongest"])
 
 
-@query("f1_kept_columns")
+@query("f1_kept_columns", PRUNED + "SELECT feature, list_contains(lost, feature) AS dropped FROM names, final")
 def f1b(spark, sf):
-    kept, lost = S.prune_correlated(full_profile(spark, sf), PRUNE, 0.85, ["o_totalprice", "price_sum"], "o_totalprice")
+    lost = pruned(spark, sf)[1]
     return spark.createDataFrame([(c, c in lost) for c in PRUNE], "feature string, dropped boolean")
 
 
@@ -354,7 +371,7 @@ def _mi_sql(features):
 @query("f2_mutual_info_knn", _mi_sql(["x", "y", "n_orders", "c_nationkey"]))
 def f2(spark, sf):
     df = customer_points(spark, sf)
-    return rounded(S.mutual_info_knn(df, ["x", "y", "n_orders", "c_nationkey"], "c_mktsegment", 5, 50_000), ["mi"])
+    return rounded(S.mutual_info_knn(df, ["x", "y", "n_orders", "c_nationkey"], "c_mktsegment", 5), ["mi"])
 
 
 def _mib(f):

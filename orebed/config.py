@@ -137,7 +137,7 @@ class MiningConfig:
     protected: tuple = PROTECTED_COLUMNS
     max_correlation: float = 0.85
     priority: tuple = CORRELATION_PRIORITY
-    mi_sample: int = 50_000
+    mi_sample: int | None = None  # rows for the neighbour estimate; None reads all
     mi_neighbors: int = 5
     core: tuple = CORE_FEATURES
     n_features: int = 12

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,8 +17,9 @@ from orebed.functions.columns import number, quoted, squared_distance_sql
 from orebed.functions.stats import pairs_of
 from orebed.operators.ranking import winner_by
 from orebed.operators.sampling import sample_exact
+from orebed.session import cut_lineage
 
-SILHOUETTE_ROWS = 20_000  # largest sample compared pairwise
+SILHOUETTE_BLOCK = 2_000  # rows on each side of one block of distances
 
 
 @dataclass(frozen=True)
@@ -82,54 +83,58 @@ def hierarchical_bisect(df: DataFrame, cols: Sequence[str], k: int, seed: int =
         *df.columns, out)
 
 
+def _distance_sums(rows: DataFrame, names: list[str], key: str, blocks: int) -> DataFrame:
+    """(key, other, total): summed distance of each row to the rows of each cluster.
+
+    Blocks of rows meet in separate tasks, which hold one block of distances and
+    give back one number per row and cluster, so no pair is ever emitted.
+    """
+    own = F.pmod(F.xxhash64(key), F.lit(blocks))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = rows.select("*", own.alias("g"), every.alias("h")).groupBy("g", "h")
+    right = rows.select("*", own.alias("h"), every.alias("g")).groupBy("g", "h")
+
+    def meet(mine: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        x, y = mine[names].to_numpy(dtype=float), held[names].to_numpy(dtype=float)
+        labels, code = np.unique(held["_label"].to_numpy(), return_inverse=True)
+        d2 = np.zeros((len(x), len(y)))
+        for j in range(x.shape[1]):
+            d2 += (x[:, j : j + 1] - y[None, :, j]) ** 2
+        sums = np.sqrt(d2, out=d2) @ np.eye(len(labels))[code]
+        return pd.DataFrame({
+            key: np.repeat(mine[key].to_numpy(), len(labels)), "other": np.tile(labels, len(x)), "total": sums.ravel()})
+
+    kinds = dict(rows.dtypes)
+    met = left.cogroup(right).applyInPandas(meet, f"{key} {kinds[key]}, other {kinds['_label']}, total double")
+    return met.groupBy(key, "other").agg(F.sum("total").alias("total"))
+
+
 def silhouette_samples(
-    df: DataFrame, cols: Sequence[str], label: str, sample: int = 8_000, seed: int = 42, key: str = "row_id"
+    df: DataFrame, cols: Sequence[str], label: str, sample: int | None, seed: int = 42, key: str = "row_id"
 ) -> DataFrame:
-    """Euclidean silhouette of each row of a seeded sample, within that sample.
+    """Euclidean silhouette of each row of a seeded sample, within that sample; None takes all rows.
 
-    The measure needs all distances inside the sample, whose size is bounded;
-    the sample is sent to the tasks once and each task reduces its rows'
-    distances to one mean per cluster, so no pair is ever emitted.
+    The measure needs all distances among the rows it looks at; it grows with
+    their square, and ``silhouette_fast`` is the linear alternative.
     """
-    if sample > SILHOUETTE_ROWS:
-        raise ValueError(f"at most {SILHOUETTE_ROWS} rows are compared pairwise")
-    rows = sample_exact(df.select(key, label, *cols), sample, seed, key)
-    held = rows.toPandas()
-    spark = df.sparkSession
-    labels, codes = np.unique(held[label].to_numpy(), return_inverse=True)
-    shared = spark.sparkContext.broadcast((held[list(cols)].to_numpy(dtype=float), codes, len(labels)))
-    names = list(cols)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        points, code, k = shared.value
-        sizes = np.bincount(code, minlength=k).astype(float)
-        onehot = np.eye(k)[code]
-        for batch in batches:
-            mine = batch["_code"].to_numpy()
-            x = batch[names].to_numpy(dtype=float)
-            d2 = np.zeros((len(x), len(points)))
-            for j in range(x.shape[1]):
-                d2 += (x[:, j : j + 1] - points[None, :, j]) ** 2
-            sums = np.sqrt(d2) @ onehot
-            own = sums[np.arange(len(x)), mine]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                a = own / (sizes[mine] - 1)
-                others = sums / sizes
-                others[np.arange(len(x)), mine] = np.inf
-                b = others.min(axis=1)
-                s = (b - a) / np.maximum(a, b)
-            s = np.where((sizes[mine] > 1) & np.isfinite(s), s, 0.0)
-            yield pd.DataFrame({key: batch[key], label: batch[label], "silhouette": s})
-
-    held["_code"] = codes
-    slots = max(spark.sparkContext.defaultParallelism, 1)
-    tasks = spark.createDataFrame(held[[key, label, "_code", *names]]).repartition(slots)
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, {label} {df.schema[label].dataType.simpleString()}, silhouette double"
-    return tasks.mapInPandas(score, schema)
-
-
-def silhouette_exact(df: DataFrame, cols: Sequence[str], label: str, sample: int = 8_000, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """One row: mean Euclidean silhouette of the sample."""
+    narrow = df.select(key, label, *cols)
+    rows = cut_lineage(narrow if sample is None else sample_exact(narrow, sample, seed, key))
+    n = rows.count()
+    named = rows.withColumn("_label", F.col(label))
+    sizes = rows.groupBy(F.col(label).alias("other")).agg(F.count(F.lit(1)).alias("size"))
+    sums = _distance_sums(named, list(cols), key, max(1, -(-n // SILHOUETTE_BLOCK)))
+    per = sums.join(sizes, "other").join(rows.select(key, label), key)
+    inner, mean = F.col("other") == F.col(label), F.col("total") / F.col("size")
+    both = per.groupBy(key, label).agg(
+        F.max(F.when(inner, F.try_divide(F.col("total"), F.col("size") - 1))).alias("a"),
+        F.min(F.when(~inner, mean)).alias("b"))
+    s = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
+    return both.select(key, label, F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(
+        F.coalesce(s, F.lit(0.0))).alias("silhouette"))
+
+
+def silhouette_exact(df: DataFrame, cols: Sequence[str], label: str, sample: int | None, seed: int = 42, key: str = "row_id") -> DataFrame:
+    """One row: mean Euclidean silhouette of the sample, or of all rows."""
     return silhouette_samples(df, cols, label, sample, seed, key).agg(
         F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette")
     )
@@ -143,7 +148,7 @@ def silhouette_fast(df: DataFrame, cols: Sequence[str], label: str) -> float:
 
 def k_scan(
     df: DataFrame, cols: Sequence[str], ks: Sequence[int], seeds: Sequence[int],
-    sample: int = 40_000, silhouette_rows: int = 8_000, n_init: int = 1, key: str = "row_id",
+    sample: int = 40_000, silhouette_rows: int | None = 8_000, n_init: int = 1, key: str = "row_id",
 ) -> tuple[DataFrame, DataFrame]:
     """Inertia and silhouette of each k on several samples: the summary and the wins per k."""
     runs = []

@@ -228,7 +228,7 @@ def dbscan_params(df: DataFrame, cols: Sequence[str], key: str = "row_id") -> De
 
 
 def dbscan_sweep(
-    df: DataFrame, cols: Sequence[str], values: Sequence[int], key: str = "row_id", sample: int = 8_000, seed: int = 42
+    df: DataFrame, cols: Sequence[str], values: Sequence[int], key: str = "row_id", sample: int | None = None, seed: int = 42
 ) -> DataFrame:
     """Knee radius, regions, noise share and silhouette of clustered rows per ``min_samples``.
 

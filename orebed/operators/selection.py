@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -46,20 +47,30 @@ def prune_correlated(
 
 
 def mutual_info_knn(
-    df: DataFrame, features: Sequence[str], target: str, k: int = 5, sample: int = 50_000,
-    seed: int = 42, key: str = "row_id", scale: float = 1e6,
+    df: DataFrame, features: Sequence[str], target: str, k: int = 5, sample: int | None = None,
+    seed: int = 42, key: str = "row_id",
 ) -> DataFrame:
     """Nearest-neighbour mutual information of continuous features and a class (Ross 2014).
 
-    In one dimension neighbours are found by sorting. Values are scaled to whole
-    numbers, so that a value plus a radius is exact. The estimator runs on a
-    seeded sample, which bounds each per-feature window; ``mutual_info_binned``
-    covers all rows.
+    In one dimension neighbours are found by sorting. Each feature is shifted to
+    its minimum and scaled by a power of ten to whole numbers of up to 50 bits,
+    so that a value plus a radius is exact and the unit does not matter. All rows
+    are read unless a ``sample`` is asked for; each feature is then one sorted
+    window, so on very large tables prefer a sample or ``mutual_info_binned``.
     """
-    rows = sample_exact(df.select(key, target, *features).where(F.col(target).isNotNull()), sample, seed, key)
+    rows = df.select(key, target, *features).where(F.col(target).isNotNull())
+    if sample is not None:
+        rows = sample_exact(rows, sample, seed, key)
+    ends = aggregate_row(rows, [f(F.col(c).cast("double")) for c in features for f in (F.min, F.max)])
+    low, scale = {}, {}
+    for i, c in enumerate(features):
+        lo, hi = ends[2 * i : 2 * i + 2]
+        low[c] = lo if lo is not None else 0.0
+        wide = (hi - lo) if lo is not None and hi > lo else 1.0
+        scale[c] = 10.0 ** math.floor(math.log10(2.0**50 / wide))
     points = (
         rows.select(F.col(target).alias("y"), F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.round(F.col(c).cast("double") * scale).cast("bigint").alias("x"))
+            F.struct(F.lit(c).alias("feature"), F.round((F.col(c).cast("double") - F.lit(low[c])) * F.lit(scale[c])).cast("bigint").alias("x"))
             for c in features
         ])).alias("p"))
         .select("y", "p.feature", "p.x").where("x is not null")

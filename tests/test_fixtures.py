@@ -202,7 +202,7 @@ def test_agreement(spark):
 def test_silhouette(spark):
     pts = [(0, 0.0, 0.0, 0), (1, 0.0, 1.0, 0), (2, 5.0, 5.0, 1), (3, 5.0, 6.0, 1), (4, 9.0, 0.0, 2)]
     df = spark.createDataFrame(pts, "row_id int, x double, y double, label int")
-    got = {r["row_id"]: r["silhouette"] for r in K.silhouette_samples(df, ["x", "y"], "label").collect()}
+    got = {r["row_id"]: r["silhouette"] for r in K.silhouette_samples(df, ["x", "y"], "label", None).collect()}
     assert got[4] == 0.0
     b = min((math.dist((0, 0), (5, 5)) + math.dist((0, 0), (5, 6))) / 2, 9.0)
     assert got[0] == pytest.approx((b - 1) / b)
