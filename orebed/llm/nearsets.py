@@ -6,13 +6,13 @@ less variance than independent minima. Ranks grow level by level; a document
 stops once every slot holds a rank of the current level or below, because later
 levels cannot lower any.
 
-Equal shingle sets first collapse to one class. Bands of slots form buckets. In a
-bucket, members meet a few pivots per round, eight times as many each round, and
-only where their components still differ; a bucket is done when the members that
-were not yet pivots share one component. So no link is lost, and a large group of
-copies needs as many comparisons as it has members. Pairs whose whole signatures
-disagree far beyond the threshold's noise are passed over, all others are
-compared on their full sets. Links become components by label passing.
+Equal shingle sets first collapse to one class. Bands of slots form buckets. Every
+member of a bucket meets the bucket's first document, which settles most copies with
+as many comparisons as there are members. Buckets whose members then still belong to
+different components are compared block by block inside tasks: whole signatures
+first, and where these do not disagree far beyond the threshold's noise, the full
+sets. A task gives back one link per member at most, so pairs are never listed, and
+a large bucket is many tasks. Links become components by label passing.
 
 Defined results: a null or empty text, or one of blanks, has the empty set and is
 linked with nothing; texts shorter than a shingle are one shingle; repeated rows
@@ -31,13 +31,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orebed.llm.common import cut
+from orebed.llm.common import cut, tasks_for
 from orebed.operators.components import connected_components
+from orebed.session import release
 
 SLOTS = 127  # prime: x -> a x + c permutes the slots, and any two slots are dealt like a uniform pair
 BANDS, ROWS = 25, 5  # misses a pair at similarity 0.8 with probability 5e-5
-LEAST_AGREEMENT = 69  # of 127 slots; at similarity 0.8 fewer agree with probability below 1e-10
-GROWTH = 8  # pivots of a bucket per round
+LEAST_AGREEMENT = 80  # of 127 slots; at similarity 0.8 fewer agree with probability 3e-6
+BLOCK_ROWS = 512  # members of one side of a comparison task
 REMEMBERED = 1_000_000  # words whose hashes a task remembers before it starts over
 LEVEL_BITS = np.uint64(56)
 
@@ -146,8 +147,31 @@ def sketch(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "
         run, f"doc_id {kind}, text_key long, n_shingles long, digest binary, bands array<long>, signature binary")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs whose set sizes and signatures leave the threshold within reach."""
+def _common(first: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Elements that each of the sorted sets ``others`` shares with ``first``."""
+    flat = np.concatenate(others)
+    at = np.searchsorted(first, flat)
+    hit = first[np.minimum(at, len(first) - 1)] == flat
+    return np.add.reduceat(hit, np.cumsum([0] + [len(o) for o in others[:-1]]), dtype=np.int64)
+
+
+def element_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(cid, elements) of the classes in ``wanted`` (cid, first_id, text_key): full sets, as bytes."""
+    source = docs.select(F.col(id_col).alias("first_id"), F.col(text_col).alias("text")).withColumn("text_key", _text_key(F.col("text")))
+    match = source["first_id"].eqNullSafe(wanted["first_id"]) & (source["text_key"] == wanted["text_key"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets_of = ShingleSets(size)
+        for batch in batches:
+            for low in range(0, len(batch), 256):
+                part = batch.iloc[low : low + 256]
+                yield pd.DataFrame({"cid": part["cid"], "elements": [s.tobytes() for s in sets_of(list(part["text"]))]})
+
+    return source.join(wanted, match).select("cid", "text").dropDuplicates(["cid"]).mapInPandas(run, "cid long, elements binary")
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs whose full sets reach the threshold; sizes and signatures are looked at first."""
     side = lambda c: classes.select(
         F.col("cid").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").where(
@@ -159,28 +183,91 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 a, b = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(-1, SLOTS) for c in ("s_a", "s_b"))
                 yield batch.loc[(a == b).sum(axis=1) >= LEAST_AGREEMENT, ["a", "b"]]
 
-    return joined.mapInPandas(agree, "a long, b long")
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b) of the pairs whose full shingle sets reach the threshold."""
-    side = lambda c: texts.select(F.col("cid").alias(c), F.col("text").alias(f"t_{c}"))
-    joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "t_a", "t_b")
+    likely = cut(joined.mapInPandas(agree, "a long, b long"))
+    full = lambda c: sets.select(F.col("cid").alias(c), F.col("elements").alias(f"e_{c}"))
+    both = likely.join(full("b"), "b").join(full("a"), "a").select("a", "b", "e_a", "e_b")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sets_of, last, first = ShingleSets(size), None, None
         for batch in batches:
             found = []
-            for a, b, text_a, text_b in zip(batch["a"], batch["b"], batch["t_a"], batch["t_b"], strict=True):
-                if a != last:
-                    last, first = a, sets_of([text_a])[0]
-                second = sets_of([text_b])[0]
-                both = len(np.intersect1d(first, second, assume_unique=True))
-                if 100 * both >= percent * (len(first) + len(second) - both):
+            for a, b, left, right in zip(batch["a"], batch["b"], batch["e_a"], batch["e_b"], strict=True):
+                first, second = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+                shared = int(_common(first, [second])[0])
+                if 100 * shared >= percent * (len(first) + len(second) - shared):
                     found.append((a, b))
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return joined.mapInPandas(check, "a long, b long")
+    return both.mapInPandas(check, "a long, b long")
+
+
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest row of each component of n rows linked by (i, j)."""
+    root = np.arange(n)
+    while True:
+        low, after = np.minimum(root[i], root[j]), root.copy()
+        np.minimum.at(after, i, low)
+        np.minimum.at(after, j, low)
+        after = after[after]
+        if (after == root).all():
+            return root
+        root = after
+
+
+def _compare_blocks(run: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """(a, b) links that connect what one task's rows (a bucket, or two blocks of it) link."""
+    n = len(run)
+    signature = np.frombuffer(b"".join(run["signature"]), np.uint8).reshape(n, SLOTS)
+    bands = np.array(run["bands"].tolist(), np.int64).reshape(n, BANDS)
+    sets = [np.frombuffer(e, np.uint64) for e in run["elements"]]
+    sizes, component = np.array([len(x) for x in sets]), run["component"].to_numpy("int64")
+    side, band = run["side"].to_numpy(), int(run["band"].iloc[0])
+    crossed = run["i"].iloc[0] != run["j"].iloc[0]
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if crossed else left
+    firsts, seconds = [], []
+    for i in left:
+        j = right if crossed else right[right > i]
+        j = j[(component[j] != component[i])
+              & (100 * np.minimum(sizes[j], sizes[i]) >= percent * np.maximum(sizes[j], sizes[i]))]
+        j = j[(signature[j] == signature[i]).sum(axis=1) >= LEAST_AGREEMENT]
+        # a pair is looked at in the first of its common buckets
+        j = j[(bands[j] == bands[i]).argmax(axis=1) == band]
+        if len(j):
+            shared = _common(sets[i], [sets[k] for k in j])
+            j = j[100 * shared >= percent * (sizes[i] + sizes[j] - shared)]
+            firsts += [i] * len(j)
+            seconds += j.tolist()
+    root = _roots(n, np.array(firsts, np.int64), np.array(seconds, np.int64))
+    cid = run["cid"].to_numpy("int64")
+    out = pd.DataFrame({"a": cid, "b": cid[root]})
+    return out[out["a"] != out["b"]]
+
+
+def _across(apart: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) links between members of one bucket and different components; apart: (bucket, band, cid, component, size)."""
+    blocks = F.ceil(F.col("size") / BLOCK_ROWS)
+    own = F.pmod(F.xxhash64("cid", "bucket"), blocks)
+    placed = apart.select("bucket", "band", "cid", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = placed.select(
+        "bucket", "band", "cid", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"))
+    full = dealt.join(classes.select("cid", "signature", "bands"), "cid").join(sets, "cid")
+    keys = ["bucket", "i", "j"]
+    ordered = full.repartition(tasks_for(classes), *keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, key = [], None
+        for batch in batches:
+            for k, part in batch.groupby(keys, sort=False):
+                if k != key and held:
+                    yield _compare_blocks(pd.concat(held), percent)
+                    held = []
+                key = k
+                held.append(part)
+        if held:
+            yield _compare_blocks(pd.concat(held), percent)
+
+    return ordered.mapInPandas(run, "a long, b long")
 
 
 def _grown(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
@@ -195,41 +282,23 @@ def _grown(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
 
 def _linked_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame | None:
     """(cid, component) of the classes that have links."""
-    bands = classes.select("cid", "first_id", F.explode("bands").alias("bucket"))
+    bands = classes.select("cid", "first_id", F.posexplode("bands").alias("band", "bucket"))
     heads = bands.groupBy("bucket").agg(
         F.count("*").alias("size"), F.coalesce(F.min_by("cid", "first_id"), F.min("cid")).alias("pivot")).where("size > 1")
-    members = cut(bands.join(heads, "bucket").select(
-        "bucket", "cid", "size", "pivot", F.pmod(F.xxhash64("bucket", "cid"), F.col("size")).alias("turn")))
-    most = members.agg(F.max("size")).first()[0]
-    if most is None:
+    members = cut(bands.join(heads, "bucket").select("bucket", "band", "cid", "pivot"))
+    if members.isEmpty():
         return None
     wanted = classes.join(members.select("cid").distinct(), "cid").select("cid", "first_id", "text_key")
-    source = docs.select(F.col(id_col).alias("first_id"), F.col(text_col).alias("text")).withColumn("text_key", _text_key(F.col("text")))
-    match = source["first_id"].eqNullSafe(wanted["first_id"]) & (source["text_key"] == wanted["text_key"])
-    texts = cut(source.join(wanted, match).select("cid", "text").dropDuplicates(["cid"]))
-    labels, done = None, 0
-    pairs = members.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
-    while True:
-        likely = cut(_likely(pairs.distinct(), classes, percent))
-        edges = cut(_confirmed(likely, texts, size, percent))
-        if not edges.isEmpty():
-            labels = _grown(labels, edges)
-        if done >= most:
-            return labels
-        now = members.select("bucket", "cid", "size", "turn")
-        now = now.join(labels, "cid", "left") if labels is not None else now.withColumn("component", F.lit(None).cast("long"))
-        now = now.withColumn("component", F.coalesce("component", "cid")).where(F.col("turn") >= done)
-        apart = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        members = cut(now.join(apart.select("bucket"), "bucket"))
-        most = members.agg(F.max("size")).first()[0]
-        if most is None:
-            return labels
-        upto = GROWTH if not done else done * GROWTH
-        pivots = members.where(F.col("turn") < upto).select("bucket", F.col("cid").alias("p"), F.col("component").alias("p_component"))
-        met = members.join(pivots, "bucket").where(
-            (F.col("component") != F.col("p_component")) & ((F.col("turn") >= upto) | (F.col("p") < F.col("cid"))))
-        pairs = met.select(F.least("p", "cid").alias("a"), F.greatest("p", "cid").alias("b"))
-        done = upto
+    sets = cut(element_sets(docs, wanted, size, id_col, text_col))
+    pairs = members.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
+    edges = cut(_confirmed(pairs, classes, sets, percent))
+    labels = cut(_grown(None, edges))
+    now = members.join(labels, "cid", "left").select("bucket", "band", "cid", F.coalesce("component", "cid").alias("component"))
+    open_ = now.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high")
+    more = cut(_across(now.join(open_.select("bucket", "size"), "bucket"), classes, sets, percent))
+    release(members, sets, edges)
+    return labels if more.isEmpty() else _grown(labels, more)
 
 
 def near_duplicates(
