@@ -23,31 +23,37 @@ def largest_gap(df: DataFrame, score: str, lo: float, hi: float) -> Gap:
     Only drops below ranks ``n*lo`` to ``n*hi`` count; the first of equal drops
     wins. Rows at or above the returned threshold lie above the drop.
     """
+    return _largest_gaps(df, score, [(lo, hi)])[0][0]
+
+
+def _largest_gaps(df: DataFrame, score: str, windows: list[tuple[float, float]]) -> tuple[list[Gap], int]:
+    """The gap of each window and the number of scores: one curve, as deep as the widest window, and one pass over it."""
     n = df.where(F.col(score).isNotNull()).count()
-    first, last = int(n * lo), int(n * hi)
-    if last - first < 2:
+    bounds = [(int(n * lo), int(n * hi)) for lo, hi in windows]
+    if any(last - first < 2 for first, last in bounds):
         raise ValueError("the searched tail holds fewer than two scores")
-    floor = order_statistics(df, {score: [n - last]})[score, n - last]
+    deepest = n - max(last for _, last in bounds)
+    floor = order_statistics(df, {score: [deepest]})[score, deepest]
     curve = ranked_values(df.where(F.col(score) >= floor), score, descending=True)
     # drops between equal scores are 0: only the last row of each value matters
-    best = (
-        curve.where((F.col("upto") > first) & (F.col("upto") < last) & F.col("next_value").isNotNull())
-        .agg(F.min(F.struct((F.col("next_value") - F.col("value")).alias("drop"), "upto", "value")).alias("b"))
-        .first()["b"]
-    )
-    if best is None:
-        at = order_statistics(df, {score: [n - first - 1]})[score, n - first - 1]
-        return Gap(first + 1, at, 0.0)
-    return Gap(best["upto"], best["value"], -best["drop"])
+    drop = F.struct((F.col("next_value") - F.col("value")).alias("drop"), "upto", "value")
+    inside = lambda first, last: (F.col("upto") > first) & (F.col("upto") < last) & F.col("next_value").isNotNull()
+    found = curve.agg(*[F.min(F.when(inside(*w), drop)).alias(f"g{i}") for i, w in enumerate(bounds)]).first()
+    gaps = []
+    for i, (first, _) in enumerate(bounds):
+        best = found[f"g{i}"]
+        if best is None:
+            at = order_statistics(df, {score: [n - first - 1]})[score, n - first - 1]
+            gaps.append(Gap(first + 1, at, 0.0))
+        else:
+            gaps.append(Gap(best["upto"], best["value"], -best["drop"]))
+    return gaps, n
 
 
 def gap_stability(df: DataFrame, score: str, windows: list[tuple[float, float]]) -> DataFrame:
     """Cut rank, its share of rows and drop size for several search windows."""
-    n = df.where(F.col(score).isNotNull()).count()
-    rows = []
-    for lo, hi in windows:
-        g = largest_gap(df, score, lo, hi)
-        rows.append((lo, hi, g.rank, 100.0 * g.rank / n, g.size))
+    gaps, n = _largest_gaps(df, score, windows)
+    rows = [(lo, hi, g.rank, 100.0 * g.rank / n, g.size) for (lo, hi), g in zip(windows, gaps)]
     return df.sparkSession.createDataFrame(
         rows, "lo double, hi double, cut_rank bigint, pct_rows double, gap double"
     )

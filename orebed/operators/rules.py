@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orebed.functions.orderstats import aggregate_row
-from orebed.session import cut_lineage
+from orebed.session import cut_lineage, release
 
 BROADCAST_ITEMSETS = 500_000
 
@@ -20,11 +20,6 @@ def to_baskets(df: DataFrame, cols: Sequence[str], key: str = "row_id") -> DataF
     return df.select(key, F.array_sort(F.array_compact(items)).alias("items"))
 
 
-def item_columns(baskets: DataFrame, items: Sequence[str], column: str = "items") -> DataFrame:
-    """One boolean column per listed item, for callers that need the wide form."""
-    return baskets.withColumns({i: F.array_contains(column, i) for i in items})
-
-
 def frequent_itemsets(baskets: DataFrame, min_support: float = 0.04, max_len: int = 4, column: str = "items") -> DataFrame:
     """(items, size, n, support) of all itemsets in at least ``min_support`` of the baskets.
 
@@ -58,6 +53,7 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.04, max_len: in
         "items", "w", F.array("last").alias("set")
     )
     frequent_items = level.select(F.element_at("set", 1).alias("last"))
+    written = None
     for size in range(2, max_len + 1):
         held = held.join(sent(level.select("set")), "set", "left_semi")
         last = F.element_at("set", -1)
@@ -66,13 +62,17 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.04, max_len: in
         ).join(sent(frequent_items), "last", "left_semi").select(
             "items", "w", F.concat("set", F.array("last")).alias("set")
         )
+        # the next level starts from this one's rows instead of growing them again
+        grown = cut_lineage(grown) if size < max_len else grown
         level = cut_lineage(
             grown.groupBy("set").agg(F.sum("w").alias("n")).where(F.col("n") >= least)
         )
+        release(written)
         levels.append(level)
-        held = grown
-        if not level.limit(1).count():
+        held, written = grown, grown if size < max_len else None
+        if level.isEmpty():
             break
+    release(written, weighted)
     found = levels[0]
     for t in levels[1:]:
         found = found.unionByName(t)
