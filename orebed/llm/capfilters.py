@@ -39,6 +39,7 @@ CROWD = 4.0  # unrelated vectors of a label in a filter, on average
 WIDEST = 0.02  # largest share of directions in a cap
 CODEWORDS = 1024  # of one block, at most
 BLOCK_ROWS = 2000  # vectors of one side of a comparison task
+SMALL_TASK = 48  # rows up to which tasks are compared many at once
 SEED = 20_011
 
 
@@ -174,34 +175,71 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _compare(run: pd.DataFrame, least: float) -> pd.DataFrame:
-    """(cid, links, root) of one task: rows of one filter, or of two blocks of it."""
+    """(cid, links, root) of one large task: rows of one filter, or of two blocks of it."""
     unit = unit_rows(np.array(run["embedding"].tolist(), "float64"))
     filters, n, here = list(run["filters"]), len(run), int(run["filter"].iloc[0])
     side = run["side"].to_numpy()
     crossed = run["i"].iloc[0] != run["j"].iloc[0]
     left = np.flatnonzero(side == 0)
     right = np.flatnonzero(side == 1) if crossed else left
-    copies = run["copies"].to_numpy("int64")
-    links, firsts, seconds = np.zeros(n, np.int64), [], []
+    firsts, seconds = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for low in range(0, len(left), BLOCK_ROWS):
         part = left[low : low + BLOCK_ROWS]
         close = _new_links(unit, filters, here, part, right, least)
-        if not crossed:
-            close[np.arange(len(part)), np.searchsorted(right, part)] = False
         i, j = np.nonzero(close)
-        np.add.at(links, part[i], copies[right[j]])
-        if crossed:
-            np.add.at(links, right[j], copies[part[i]])
-        firsts.append(part[i])
-        seconds.append(right[j])
-    if not len(firsts):
-        return pd.DataFrame({"cid": [], "links": [], "root": []}, dtype="int64")
-    root = _roots(n, np.concatenate(firsts), np.concatenate(seconds))
-    cid = run["cid"].to_numpy("int64")
-    out = pd.DataFrame({"cid": cid, "links": links, "root": cid[root]})
+        i, j = part[i], right[j]
+        once = np.full(len(i), True) if crossed else i < j
+        firsts.append(i[once])
+        seconds.append(j[once])
+    return _told(run, np.concatenate(firsts), np.concatenate(seconds))
+
+
+def _told(rows: pd.DataFrame, i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
+    """(cid, links, root) of the rows that the links (i, j) touch."""
+    links, copies, cid = np.zeros(len(rows), np.int64), rows["copies"].to_numpy("int64"), rows["cid"].to_numpy("int64")
+    np.add.at(links, i, copies[j])
+    np.add.at(links, j, copies[i])
+    out = pd.DataFrame({"cid": cid, "links": links, "root": cid[_roots(len(rows), i, j)]})
     return out[out["links"] > 0]
 
 
+def _compare_small(rows: pd.DataFrame, sizes: np.ndarray, least: float) -> pd.DataFrame:
+    """(cid, links, root) of many small tasks at once: ``sizes`` rows each, one filter each."""
+    unit = unit_rows(np.array(rows["embedding"].tolist(), "float64"))
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    later = ends - np.arange(len(rows)) - 1  # rows of the same task behind each row
+    i = np.repeat(np.arange(len(rows)), later)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later) - later, later)
+    close = np.concatenate([
+        np.einsum("ij,ij->i", unit[i[k : k + 65_536]], unit[j[k : k + 65_536]]) >= least for k in range(0, len(i), 65_536)
+    ] or [np.empty(0, bool)])
+    i, j = i[close], j[close]
+    sets, here = [set(f) for f in rows["filters"].map(np.ndarray.tolist)] if len(i) else [], rows["filter"].to_numpy()
+    first = np.array([min(sets[a] & sets[b]) == here[a] for a, b in zip(i.tolist(), j.tolist(), strict=True)], bool)
+    return _told(rows, i[first], j[first])
+
+
+def _starts(rows: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """First row of each task of sorted rows."""
+    values = rows[keys].to_numpy("int64")
+    return np.flatnonzero(np.concatenate([[True], (values[1:] != values[:-1]).any(axis=1)]))
+
+
+def _compare_tasks(rows: pd.DataFrame, starts: np.ndarray, least: float) -> Iterator[pd.DataFrame]:
+    sizes = np.diff(np.append(starts, len(rows)))
+    whole = (rows["i"].to_numpy() == rows["j"].to_numpy())[starts] if len(starts) else np.empty(0, bool)
+    small = (sizes <= SMALL_TASK) & whole
+    if small.any():
+        part = rows[np.repeat(small, sizes)]
+        lengths = part["embedding"].map(len).to_numpy()
+        for n in np.unique(lengths):  # a task holds vectors of one length
+            mine = lengths == n
+            firsts = np.cumsum(sizes[small]) - sizes[small]
+            yield _compare_small(part[mine], sizes[small][mine[firsts]], least)
+    for at, n in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
+        yield _compare(rows.iloc[at : at + n], least)
+
+
 def _links(classes: DataFrame, rows: int, least: float) -> DataFrame:
     """(cid, links, root) summed over nothing yet: one row per class and task in which it has links."""
     lists = cut(filter_lists(classes, rows, least))
@@ -221,16 +259,14 @@ def _links(classes: DataFrame, rows: int, least: float) -> DataFrame:
     sorted_ = full.repartition(tasks_for(classes), *keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, key = [], None
+        kept = None  # rows of the last task so far, which may go on in the next batch
         for batch in batches:
-            for k, part in batch.groupby(keys, sort=False):
-                if k != key and held:
-                    yield _compare(pd.concat(held), least)
-                    held = []
-                key = k
-                held.append(part)
-        if held:
-            yield _compare(pd.concat(held), least)
+            rows = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+            starts = _starts(rows, keys)
+            yield from _compare_tasks(rows.iloc[: starts[-1]], starts[:-1], least)
+            kept = rows.iloc[starts[-1] :]
+        if kept is not None:
+            yield from _compare_tasks(kept, np.zeros(1, np.int64), least)
 
     return sorted_.mapInPandas(run, "cid long, links long, root long")
 
