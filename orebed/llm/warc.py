@@ -32,10 +32,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orebed.llm.common import cut
+from orebed.session import release
+
 ROLL_BYTES = 256 << 20  # compressed bytes after which a file is closed
 SHARD_BYTES = 256 << 20  # payload bytes of a key range
 LEAST_SHARDS = 64  # ranges that even small tables are dealt to, unless they fall below LEAST_BYTES each
 LEAST_BYTES = 4 << 20
+RADIX_BITS = 2
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the standard URL namespace
@@ -126,22 +130,25 @@ class _Files:
 def shard_bounds(rows: DataFrame, shard_bytes: int) -> list[int]:
     """First ids of the second and later shards: prefix sums of bytes over ranges of ids.
 
-    Ranges are nodes of a radix tree over the ids. Only nodes heavier than a
-    quarter of a shard are opened, so what comes back is bounded by the number
-    of shards, not of rows.
+    Ranges are nodes of a radix tree over the ids, four to a parent. Only nodes
+    heavier than half a shard are opened, so each level sends the driver at most
+    eight sums per shard, whatever the number of rows.
     """
-    shift, heavy, leaves = 54, None, []
+    low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
+    if low is None:
+        return []
+    shift, above, heavy, leaves = max(0, 62 if low < 0 <= high else (low ^ high).bit_length() - RADIX_BITS), 0, None, []
     while True:
-        node = F.shiftright("page_id", shift)
-        part = rows if heavy is None else rows.join(
-            F.broadcast(rows.sparkSession.createDataFrame([(h,) for h in heavy], "parent long")),
-            F.shiftright("page_id", shift + 9) == F.col("parent"), "left_semi")
-        sums = part.where("page_id is not null").groupBy(node.alias("node")).agg(F.sum("size").alias("size")).collect()
-        heavy = sorted(r["node"] for r in sums if shift and r["size"] > shard_bytes // 4)
-        leaves += [(r["node"] << shift, r["size"]) for r in sums if not shift or r["size"] <= shard_bytes // 4]
+        part = rows.where("page_id is not null")
+        if heavy is not None:
+            opened = rows.sparkSession.createDataFrame([(h,) for h in heavy], "parent long")
+            part = part.join(F.broadcast(opened), F.shiftright("page_id", above) == F.col("parent"), "left_semi")
+        sums = part.groupBy(F.shiftright("page_id", shift).alias("node")).agg(F.sum("size").alias("size")).collect()
+        heavy = sorted(r["node"] for r in sums if shift and r["size"] > shard_bytes // 2)
+        leaves += [(r["node"] << shift, r["size"]) for r in sums if not shift or r["size"] <= shard_bytes // 2]
         if not heavy:
             break
-        shift -= 9
+        above, shift = shift, max(0, shift - RADIX_BITS)
     bounds, held = [], 0
     for first, size in sorted(leaves):
         if held and held + size > shard_bytes:
@@ -162,7 +169,7 @@ def write_archives(
     spark = pages.sparkSession
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    small = rows.select("page_id", F.octet_length("payload").cast("long").alias("size"), F.sha2("payload", 256).alias("key"))
+    small = cut(rows.select("page_id", F.octet_length("payload").cast("long").alias("size"), F.sha2("payload", 256).alias("key")))
     if shard_bytes is None:
         total = small.agg(F.sum("size")).first()[0] or 0
         shard_bytes = min(SHARD_BYTES, max(LEAST_BYTES, total // LEAST_SHARDS))
@@ -211,6 +218,7 @@ def write_archives(
             yield pd.DataFrame([m for m in [files.close()] if m], columns=["shard", "file", "records", "bytes", "sha1"])
 
     ordered.mapInPandas(write, MANIFEST).write.mode("overwrite").parquet(f"{folder}/_manifest")
+    release(small)
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
 
 
