@@ -21,6 +21,7 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ MARK = "▁"  # the library's sign for a space
 UNKNOWN_PENALTY = 10.0
 #: Stretches whose ids a worker remembers; beyond that it keeps those met again.
 REMEMBERED = 600_000
+_NEVER = float("-inf")
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -49,8 +51,13 @@ class PieceModel:
         self.byte_ids = {int(pieces[i][1:-1], 16): i for i in range(size) if model.is_byte(i)}
         special = {i for i in range(size) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)}
         self.pieces = {pieces[i]: (i, model.get_score(i)) for i in range(size) if i not in special}
-        #: every proper beginning of a piece: the search stops where none fits
-        self.beginnings = {p[:k] for p in self.pieces for k in range(1, len(p))}
+        #: pieces by their characters: a node leads to longer pieces, and under None to the score of its own
+        self.tree: dict = {}
+        for piece, (_, gain) in self.pieces.items():
+            node = self.tree
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[None] = gain
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown_score = min((s for _, s in self.pieces.values()), default=0.0) - UNKNOWN_PENALTY
         self.splits = not any(MARK in p.lstrip(MARK) for p in self.pieces)
@@ -70,37 +77,36 @@ class PieceModel:
 
     def stream(self, text: str) -> Iterator[list[int]]:
         """Ids of ``text``, committed stretch by stretch."""
-        n, pieces, beginnings = len(text), self.pieces, self.beginnings
+        n, tree, unknown = len(text), self.tree, self.unknown_score
         score = {0: 0.0}  # of the best path to each boundary in the window
         back: dict[int, int] = {}  # start of that path's last piece, for boundaries not committed
         done, check = 0, self.longest
-        for at in range(n):
-            here = score.pop(at, None)
-            if here is None:
-                continue
-            single = False
-            for end in range(at + 1, min(at + self.longest, n) + 1):
-                piece = text[at:end]
-                found = pieces.get(piece)
-                if found is not None:
-                    single = single or end == at + 1
-                    total = here + found[1]
-                    if end not in score or total > score[end]:
+        at = 0
+        while at < n:
+            here = score.pop(at)
+            node, end = tree.get(text[at]), at + 1
+            gain = unknown if node is None else node.get(None, unknown)
+            while True:
+                if gain is not None:
+                    total = here + gain
+                    if total > score.get(end, _NEVER):
                         score[end], back[end] = total, at
-                if piece not in beginnings:
+                if node is None or end == n:
                     break
-            if not single:
-                total = here + self.unknown_score
-                if at + 1 not in score or total > score[at + 1]:
-                    score[at + 1], back[at + 1] = total, at
-            if at + 1 >= check and len(score) >= 1:
+                node = node.get(text[end])
+                if node is None:
+                    break
+                end += 1
+                gain = node.get(None)
+            at += 1
+            if at >= check:
                 boundary = self._converged(score, back, done)
                 if boundary > done:
                     yield self._walk(text, back, done, boundary)
                     done = boundary
                     for b in [b for b in back if b <= done]:
                         del back[b]
-                check = at + 1 + self.longest
+                check = at + self.longest
         if n > done:
             yield self._walk(text, back, done, n)
 
@@ -119,12 +125,20 @@ class PieceModel:
     def _walk(self, text: str, back: dict[int, int], start: int, end: int) -> list[int]:
         spans = []
         while end > start:
-            spans.append((back[end], end))
+            spans.append(text[back[end] : end])
             end = back[end]
-        return [i for a, b in reversed(spans) for i in self._ids(text[a:b])]
+        out, pieces = [], self.pieces
+        for piece in reversed(spans):
+            found = pieces.get(piece)
+            if found is None:
+                out += self._ids(piece)
+            else:
+                out.append(found[0])
+        return out
 
     def _search(self, stretch: str) -> bytes:
-        return np.array([i for part in self.stream(stretch) for i in part], "<u4").tobytes()
+        ids = [i for part in self.stream(stretch) for i in part]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
