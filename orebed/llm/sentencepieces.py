@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ from pyspark.sql.types import StringType
 MARK = "▁"  # the library's sign for a space
 UNKNOWN_PENALTY = 10.0
 #: Stretches whose ids a worker remembers; beyond that it keeps those met again.
-REMEMBERED = 600_000
+REMEMBERED = 350_000
 _NEVER = float("-inf")
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -51,13 +52,6 @@ class PieceModel:
         self.byte_ids = {int(pieces[i][1:-1], 16): i for i in range(size) if model.is_byte(i)}
         special = {i for i in range(size) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)}
         self.pieces = {pieces[i]: (i, model.get_score(i)) for i in range(size) if i not in special}
-        #: pieces by their characters: a node leads to longer pieces, and under None to the score of its own
-        self.tree: dict = {}
-        for piece, (_, gain) in self.pieces.items():
-            node = self.tree
-            for char in piece:
-                node = node.setdefault(char, {})
-            node[None] = gain
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown_score = min((s for _, s in self.pieces.values()), default=0.0) - UNKNOWN_PENALTY
         self.splits = not any(MARK in p.lstrip(MARK) for p in self.pieces)
@@ -68,6 +62,17 @@ class PieceModel:
         self.memo: dict[str, bytes] = {}
         self.again: set[str] = set()
 
+    @cached_property
+    def tree(self) -> dict:
+        """Pieces by their characters: a node leads to longer pieces, and under None to the score of its own."""
+        tree: dict = {}
+        for piece, (_, gain) in self.pieces.items():
+            node = tree
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[None] = gain
+        return tree
+
     def _ids(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
         if found is not None:
