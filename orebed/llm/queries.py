@@ -97,6 +97,38 @@ FROM documents d LEFT JOIN left_over l USING (doc_id)
 """
 
 
+def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every document without passages and chunks of lines that stand earlier in the corpus."""
+    return linechunks.dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        F.col("row.doc_id").alias("doc_id"), "text", "removed_lines")
+
+
+OP3_PASSAGE_SQL = OP3_SQL[: OP3_SQL.index("marked AS (")] + f"""
+run AS (SELECT doc_id, i, l, w, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM line),
+held AS (
+  SELECT a.doc_id, a.i AS s, b.i AS e FROM run a JOIN run b
+  ON a.doc_id = b.doc_id AND a.i <= b.i AND b.upto - a.upto + a.w >= {linechunks.LONG_WORDS}),
+span AS (
+  SELECT doc_id, s, min(e) AS e FROM held GROUP BY doc_id, s
+  UNION SELECT doc_id, max(s), e FROM held GROUP BY doc_id, e
+  UNION SELECT doc_id, place, place + n - 1 FROM chunk WHERE eligible),
+spoken AS (
+  SELECT p.doc_id, s, e, string_agg(l, chr(10) ORDER BY i) AS t
+  FROM span p JOIN line r ON r.doc_id = p.doc_id AND i BETWEEN s AND e GROUP BY p.doc_id, s, e),
+placed AS (
+  SELECT *, first_value(doc_id) OVER o AS first_doc, first_value(e) OVER o AS first_end
+  FROM spoken WINDOW o AS (PARTITION BY t ORDER BY doc_id, s)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS i FROM placed WHERE doc_id <> first_doc OR s > first_end),
+left_over AS (
+  SELECT line.doc_id, coalesce(string_agg(l, chr(10) ORDER BY line.i) FILTER (WHERE gone.i IS NULL), '') AS text,
+         count(gone.i) AS removed_lines
+  FROM line LEFT JOIN gone ON gone.doc_id = line.doc_id AND gone.i = line.i GROUP BY line.doc_id)
+SELECT d.doc_id, l.text, coalesce(removed_lines, 0) AS removed_lines
+FROM documents d LEFT JOIN left_over l USING (doc_id)
+"""
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives in the shared folder and read back."""
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
@@ -227,6 +259,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op3_passage_dedup": op3_passage_dedup,
     "op4_warc": op4_warc,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_html_extraction": op6_html_extraction,
@@ -238,6 +271,7 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": OP1_SQL,
     "op3_line_dedup": OP3_SQL,
+    "op3_passage_dedup": OP3_PASSAGE_SQL,
     "op4_warc": OP4_SQL,
     "op8_secret_scans": OP8_SQL,
 }
