@@ -6,7 +6,10 @@ boilerplate containers (menus, footers, forms, adverts, comments, ...). The
 ratios are smoothed with a Gaussian over neighbouring lines and clustered into
 low and high by the threshold that separates two means. Regions, that is an
 article or main element or a run of lines outside of these, are content when
-their smoothed peak lies in the high cluster, and keep all their lines.
+their smoothed peak lies in the high cluster, and keep all their lines. A class or
+id marks boilerplate by a whole name of it, or by one with qualifiers; an article
+or main element does not belong to the forms and qualified names around it. Where
+nothing else is left, the lines of forms and of named wrappers are scored.
 
 Defined results: a null or empty page, or one without text, gives an empty text;
 null ids and urls are carried through; repeated rows are extracted one by one;
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 # Elements and names that mark boilerplate, and how elements nest.
 SILENT = frozenset("head title script style noscript template iframe object svg canvas audio video select button textarea datalist".split())
 FRAMES = frozenset("nav header footer aside".split())
-FORMS = frozenset("form dialog menu fieldset".split())
+FORMS = frozenset("form fieldset".split())
+PANELS = frozenset("dialog menu".split())
 ROOTS = frozenset("article main".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -43,6 +47,9 @@ NAMES = frozenset(
     "cookie cookies disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices "
     "overlay pagination popup promo promotion related replies reply respond share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar topbar widget".split())
+QUALIFIERS = frozenset(
+    "area bar block body bottom box button buttons container form global group inner item items left link links list main "
+    "outer page panel post posts primary right secondary section site slot top unit wrap wrapper".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 _OPEN_MARKUP = re.compile(r"<[A-Za-z/!?]")
@@ -50,49 +57,79 @@ _OPEN_MARKUP = re.compile(r"<[A-Za-z/!?]")
 SIGMA = 1.0  # of the smoothing, in lines
 ROOT_WEIGHT = 4.0  # of lines inside an article or main element
 
+HEADS, NONE = frozenset(["header"]), frozenset()  # a heading inside an article or main element is text
+
+# What an open element switches.
+FRAME, HARD, NAMED, ROOT, COMPOUND, FORM = range(1, 7)
+
+
+def _named(value: str, exempt: frozenset) -> int:
+    """NAMED where a name in a class or id is all boilerplate, COMPOUND where it also has qualifiers."""
+    kind = 0
+    for name in value.lower().split():
+        tokens = set(name.replace("-", " ").replace("_", " ").split())
+        known = (tokens & NAMES) - exempt
+        if known and tokens <= NAMES:
+            return NAMED
+        if known and all(t in NAMES or t in QUALIFIERS or t.isdigit() for t in tokens):
+            kind = COMPOUND
+    return kind
+
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, region, rooted) lines; region -1 is boilerplate."""
+    """Collects (text, tags, region, rooted) lines; region -1 is boilerplate, below it are runs in named wrappers and forms."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, int]] = []  # element and what it switches: 1 frame, 2 boilerplate, 4 root
-        self.frames = self.boiler = self.roots = 0
+        self.open: list[tuple[str, int, tuple]] = []  # element, what it switches, counts that a root sets aside
+        self.count = [0] * 7
+        self.articles = 0
         self.text: list[str] = []
         self.tags = 0
         self.region = 0
         self.run_open = False
+        self.spare = -1
+        self.spare_open = False
 
     def _cut(self) -> None:
         text = " ".join("".join(self.text).split())
         self.text = []
         if text:
-            out = bool(self.boiler or self.frames)
-            if out:
+            count = self.count
+            out = bool(count[HARD] or count[FRAME])
+            spare = bool(count[NAMED] or count[COMPOUND] or count[FORM])
+            if out or spare:
                 self.run_open = False
-            elif not self.roots and not self.run_open:
+            elif not count[ROOT] and not self.run_open:
                 self.region += 1
                 self.run_open = True
-            self.lines.append((text, self.tags, -1 if out else self.region, bool(self.roots)))
+            if out or not spare:
+                self.spare_open = False
+            elif not self.spare_open:
+                self.spare -= 1
+                self.spare_open = True
+            self.lines.append((text, self.tags, -1 if out else self.spare if spare else self.region, bool(count[ROOT])))
             self.tags = 0
 
     def _marked(self, tag: str, attrs: list) -> int:
-        if tag in SILENT or tag in FORMS:
-            return 2
-        kind = 0
+        if tag in SILENT or tag in PANELS:
+            return HARD
+        kind = FORM if tag in FORMS else 0
+        inside = self.count[ROOT]
         if tag in FRAMES:
-            kind = 1 if not (tag == "header" and self.roots) else 0
+            kind = FRAME if not (tag == "header" and inside) else 0
+        named = 0
         if attrs and tag not in ("html", "body"):
             for name, value in attrs:
                 if name in ("class", "id"):
-                    if value and not NAMES.isdisjoint(value.lower().replace("-", " ").replace("_", " ").split()):
-                        return 2
+                    found = _named(value, HEADS if inside else NONE) if value else 0
+                    named = found if found and named != NAMED else named
                 elif name == "role" and value and value.lower() in ROLES or name == "hidden" or (
                     name == "aria-hidden" and value == "true" or name == "style" and value and "display:none" in value.replace(" ", "").lower()
                 ):
-                    return 2
-        return kind
+                    return HARD
+        return FRAME if kind == FRAME and named != NAMED else named or kind
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -103,16 +140,20 @@ class _Lines(HTMLParser):
         if tag in CLOSES and self.open and self.open[-1][0] in CLOSES[tag]:
             self._pop()
         kind = self._marked(tag, attrs)
-        if tag in ROOTS and kind != 2:
-            while self.frames:  # an article never belongs to an unclosed menu or header before it
+        count, aside = self.count, ()
+        if tag in ROOTS and not kind:
+            while count[FRAME]:  # an article never belongs to an unclosed menu or header before it
                 self._pop()
-            kind = 4
-            if not self.roots:
+            kind = ROOT
+            aside = count[COMPOUND], count[FORM]
+            if not count[ROOT]:
                 self.region += 1
-        self.open.append((tag, kind))
-        self.frames += kind == 1
-        self.boiler += kind == 2
-        self.roots += kind == 4
+                count[COMPOUND] = 0
+            if not self.articles:
+                count[FORM] = 0
+            self.articles += tag == "article"
+        self.open.append((tag, kind, aside))
+        count[kind] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -120,18 +161,19 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def _pop(self) -> None:
-        _, kind = self.open.pop()
-        self.frames -= kind == 1
-        self.boiler -= kind == 2
-        self.roots -= kind == 4
-        if kind == 4 and not self.roots:
-            self.run_open = False
+        tag, kind, aside = self.open.pop()
+        self.count[kind] -= 1
+        if kind == ROOT:
+            self.count[COMPOUND], self.count[FORM] = aside
+            self.articles -= tag == "article"
+            if not self.count[ROOT]:
+                self.run_open = False
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCKS:
             self._cut()
-        if any(t == tag for t, _ in self.open):
+        if any(t == tag for t, _, _ in self.open):
             while self.open[-1][0] != tag:
                 self._pop()
             self._pop()
@@ -180,6 +222,8 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     parser.feed(html or "")
     parser.close()
     lines = parser.lines
+    if not any(region >= 0 for _, _, region, _ in lines):  # where nothing is left, named wrappers and forms are scored
+        lines = [(text, tags, -region if region < -1 else -1, rooted) for text, tags, region, rooted in lines]
     if not any(region >= 0 for _, _, region, _ in lines):
         return ""
     ratios = [
