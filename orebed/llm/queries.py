@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.llm import capfilters, htmlmain, linechunks, nearsets, packing, quality, secretscan, sentencepieces, urlfilter, warc
+from orebed.llm import (
+    capfilters, htmlmain, linechunks, nearsets, packing, quality, rnsmine, secretscan, sentencepieces, urlfilter, warc)
 from orebed.llm.common import table
 from orebed.session import shared_dir
 
@@ -255,6 +256,38 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to three hard negatives per anchor and positive, every 50th vector an anchor."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rnsmine.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0,
+                                  positives=5, negatives=3, low=50, high=95)
+
+
+OP12_SQL = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({rnsmine.SCALE} * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR NOT abs(x::DOUBLE) < {rnsmine.LIMIT})) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS other_id, a.label = v.label AS same,
+         coalesce(list_sum(list_transform(range(1, least(len(a.e), len(v.e)) + 1), lambda i: a.e[i] * v.e[i])), 0)::BIGINT AS score
+  FROM (SELECT * FROM v WHERE vec_id % 50 = 0) a JOIN v ON a.vec_id <> v.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS r FROM s WHERE same)
+  WHERE r <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.other_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -267,6 +300,7 @@ QUERIES = {
     "op8_secret_scans": op8_secret_scans,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 ORACLES = {
     "op1_quality_rules": OP1_SQL,
@@ -274,4 +308,5 @@ ORACLES = {
     "op3_passage_dedup": OP3_PASSAGE_SQL,
     "op4_warc": OP4_SQL,
     "op8_secret_scans": OP8_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
