@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebed.llm import (
-    capfilters, htmlmain, linechunks, nearsets, packing, quality, rnsmine, secretscan, sentencepieces, urlfilter, warc)
+    capfilters, decontam, htmlmain, linechunks, nearsets, packing, quality, rnsmine, secretscan, sentencepieces, urlfilter, warc)
 from orebed.llm.common import table
 from orebed.session import shared_dir
 
@@ -256,6 +256,39 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of ten-word windows of benchmark items."""
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        decontam.item_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_NORMAL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP11_SQL = f"""
+WITH it AS (SELECT item_id, {_NORMAL} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS key
+  FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+        FROM it WHERE len(w) > 0)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_NORMAL} AS w FROM documents),
+lens AS (SELECT DISTINCT k FROM win),
+dw AS (
+  SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS key
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d JOIN lens ON len(w) >= k)),
+m AS MATERIALIZED (SELECT dw.r, dw.i, dw.k, win.item_id FROM dw JOIN win ON dw.k = win.k AND dw.key = win.key),
+hit AS (
+  SELECT r, count(DISTINCT j) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT r, i, k FROM m)) GROUP BY r),
+its AS (
+  SELECT r, count(*) AS n_items, sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS h
+  FROM (SELECT DISTINCT r, item_id FROM m) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to three hard negatives per anchor and positive, every 50th vector an anchor."""
     rows = table(spark, sf_dir, "embeddings")
@@ -300,6 +333,7 @@ QUERIES = {
     "op8_secret_scans": op8_secret_scans,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_decontamination": op11_decontamination,
     "op12_hard_negatives": op12_hard_negatives,
 }
 ORACLES = {
@@ -308,5 +342,6 @@ ORACLES = {
     "op3_passage_dedup": OP3_PASSAGE_SQL,
     "op4_warc": OP4_SQL,
     "op8_secret_scans": OP8_SQL,
+    "op11_decontamination": OP11_SQL,
     "op12_hard_negatives": OP12_SQL,
 }
