@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebed.llm import (
-    capfilters, decontam, htmlmain, linechunks, nearsets, packing, quality, rnsmine, secretscan, sentencepieces, urlfilter, warc)
+    capfilters, decontam, htmlmain, lexsearch, linechunks, nearsets, packing, quality, rnsmine, secretscan, sentencepieces, urlfilter, warc)
 from orebed.llm.common import table
 from orebed.session import shared_dir
 
@@ -321,6 +321,29 @@ SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, n
 """
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best documents of every benchmark item under integer BM25 weights."""
+    return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13_SQL = f"""
+WITH p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL),
+dl AS (SELECT doc_id, sum(tf) AS n FROM p GROUP BY doc_id),
+g AS (SELECT count(*) AS nd, sum(n) AS l FROM dl),
+w AS (SELECT term, floor(1000 * ln((2 * g.nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, g GROUP BY term, g.nd),
+c AS (
+  SELECT p.doc_id, p.term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * dl.n * g.nd) // g.l)) AS c
+  FROM p JOIN dl USING (doc_id), g),
+q AS (SELECT item_id, term, count(*) AS qn FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+s AS (
+  SELECT q.item_id, c.doc_id, sum(q.qn * w.w * c.c) AS score
+  FROM q JOIN w USING (term) JOIN c USING (term) GROUP BY q.item_id, c.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score::BIGINT AS score FROM r WHERE rank <= 10
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -335,6 +358,7 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_decontamination": op11_decontamination,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLES = {
     "op1_quality_rules": OP1_SQL,
@@ -344,4 +368,5 @@ ORACLES = {
     "op8_secret_scans": OP8_SQL,
     "op11_decontamination": OP11_SQL,
     "op12_hard_negatives": OP12_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
