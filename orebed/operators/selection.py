@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orebed.functions.columns import digamma, right_closed_bin
 from orebed.functions.orderstats import aggregate_row, exact_quantiles
 from orebed.operators.correlation import pair_correlations
 from orebed.operators.sampling import sample_exact
+from orebed.session import cut_lineage
 
 
 def redundant_columns(
@@ -46,17 +47,47 @@ def prune_correlated(
     return df.drop(*lost), lost
 
 
+#: rows of merged (feature, class, value) in one value-range slice of a feature, at most about
+SLICE_ROWS = 200_000
+
+
+def _slice_of(value: Column) -> Column:
+    """Slice of ``value`` among the sorted cut points ``cuts``: equal values share a slice."""
+    return F.size(F.filter("cuts", lambda b: b <= value))
+
+
+def _kth_distance(k: int) -> Column:
+    """Distance to the k-th nearest same-class point, from k distinct values on each side with counts."""
+    near = F.array_sort(F.transform(
+        F.filter("near", lambda v: v.isNotNull()),
+        lambda v: F.struct(F.abs(F.col("x") - v["x"]).alias("dist"), v["c"].alias("c"))))
+    need = F.col("k") - (F.col("c") - 1)
+    found = F.aggregate(
+        near, F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("d")),
+        lambda st, e: F.struct((st["n"] + e["c"]).alias("n"),
+                               F.coalesce(st["d"], F.when(st["n"] + e["c"] >= need, e["dist"])).alias("d")),
+        lambda st: st["d"])
+    return F.when(need <= 0, F.lit(0).cast("long")).otherwise(found)
+
+
 def mutual_info_knn(
     df: DataFrame, features: Sequence[str], target: str, k: int = 5, sample: int | None = None,
-    seed: int = 42, key: str = "row_id",
+    seed: int = 42, key: str = "row_id", slices: int | None = None,
 ) -> DataFrame:
     """Nearest-neighbour mutual information of continuous features and a class (Ross 2014).
 
     In one dimension neighbours are found by sorting. Each feature is shifted to
     its minimum and scaled by a power of ten to whole numbers of up to 50 bits,
     so that a value plus a radius is exact and the unit does not matter. All rows
-    are read unless a ``sample`` is asked for; each feature is then one sorted
-    window, so on very large tables prefer a sample or ``mutual_info_binned``.
+    are read unless a ``sample`` is asked for.
+
+    No window spans a whole feature. Equal (feature, class, value) rows are merged
+    with their count first. Each feature is then range-split into slices at
+    approximate quantiles (``slices``, by default one per ``SLICE_ROWS`` merged
+    rows). The k-th neighbour distance is found inside a slice, with the k nearest
+    same-class values beyond each border carried in. The points inside each
+    radius come from running counts within the slice of each interval end, plus
+    the total of all lower slices. The result does not depend on the slices.
     """
     rows = df.select(key, target, *features).where(F.col(target).isNotNull())
     if sample is not None:
@@ -75,48 +106,79 @@ def mutual_info_knn(
         ])).alias("p"))
         .select("y", "p.feature", "p.x").where("x is not null")
     )
-    per_class = Window.partitionBy("feature", "y")
-    ordered = per_class.orderBy("x")
-    near = [F.abs(F.col("x") - f("x", i).over(ordered)) for i in range(1, k + 1) for f in (F.lag, F.lead)]
-    radii = (
-        points.withColumn("n_y", F.count(F.lit(1)).over(per_class)).where("n_y > 1")
-        .withColumn("k", F.least(F.lit(k), F.col("n_y") - 1))
-        .withColumn("near", F.array_sort(F.filter(F.array(*near), lambda v: v.isNotNull())))
-        .withColumn("d", F.element_at("near", F.col("k").cast("int")))
-        .select("feature", "x", "n_y", "k", "d")
-    )
-    # Points strictly inside (x - d, x + d), or equal to x when d = 0: a running
-    # count over the values and both ends of every interval, sorted together.
-    open_end = F.col("d") > 0
-    ends = radii.select(
-        "feature", "n_y", "k",
-        F.explode(F.array(
-            F.struct(F.col("x").alias("at"), F.lit(1).alias("place"), F.lit(1).alias("one"), F.lit(0).alias("side")),
-            F.struct((F.col("x") - F.col("d")).alias("at"),
-                     F.when(open_end, 2).otherwise(0).alias("place"), F.lit(0).alias("one"), F.lit(-1).alias("side")),
-            F.struct((F.col("x") + F.col("d")).alias("at"),
-                     F.when(open_end, 0).otherwise(2).alias("place"), F.lit(0).alias("one"), F.lit(1).alias("side")),
-        )).alias("e"), F.struct("x", "d", "n_y", "k").alias("who"),
-    ).select("feature", "who", "e.*")
-    running = Window.partitionBy("feature").orderBy("at", "place").rowsBetween(Window.unboundedPreceding, 0)
-    counted = ends.withColumn("seen", F.sum("one").over(running)).where("side <> 0")
-    # rows with equal (x, d, n_y, k) have equal counts: keep them once with a weight
-    per_point = counted.groupBy("feature", "who").agg(
-        F.sum(F.col("seen") * F.col("side")).alias("inside"), F.count_if(F.col("side") == 1).alias("w")
-    )
-    m = F.col("inside") / F.col("w")
-    w = F.col("w").cast("double")
-    return (
-        per_point.withColumn("m", m).groupBy("feature").agg(
-            F.greatest(
-                F.lit(0.0),
-                digamma(F.sum(w)) + (
-                    F.sum(w * digamma(F.col("who.k"))) - F.sum(w * digamma(F.col("who.n_y")))
-                    - F.sum(w * digamma(F.col("m")))
-                ) / F.sum(w),
-            ).alias("mi")
-        ).orderBy(F.desc("mi"), "feature")
-    )
+    merged = points.groupBy("feature", "y", "x").agg(F.count(F.lit(1)).alias("c"))
+    classes = merged.groupBy("feature", "y").agg(F.sum("c").alias("n_y"))
+    merged = cut_lineage(merged.join(classes, ["feature", "y"]).where("n_y > 1").withColumn(
+        "k", F.least(F.lit(k), F.col("n_y") - 1)))
+    if slices is None:
+        largest = merged.groupBy("feature").count().agg(F.max("count")).first()[0] or 0
+        slices = max(1, math.ceil(largest / SLICE_ROWS))
+    probs = [i / slices for i in range(1, slices)]
+    if probs:
+        cuts = merged.groupBy("feature").agg(F.array_sort(F.percentile_approx("x", probs, 10000)).alias("cuts"))
+    else:
+        cuts = merged.select("feature").distinct().withColumn("cuts", F.array().cast("array<bigint>"))
+    # one row per feature, ``slices`` numbers each
+    cuts = F.broadcast(cuts)
+    sliced = merged.join(cuts, "feature").withColumn("s", _slice_of(F.col("x"))).drop("cuts")
+
+    # k-th same-class distance: the k values beyond each slice border are carried in
+    part = Window.partitionBy("feature", "y", "s")
+    edged = sliced.withColumn("up", F.row_number().over(part.orderBy("x"))).withColumn(
+        "down", F.row_number().over(part.orderBy(F.desc("x")))).where((F.col("up") <= k) | (F.col("down") <= k))
+    value = F.struct("x", "c")
+    edges = edged.groupBy("feature", "y", "s").agg(
+        F.collect_list(F.when(F.col("up") <= k, value)).alias("lowest"),
+        F.collect_list(F.when(F.col("down") <= k, value)).alias("highest"))
+    order = Window.partitionBy("feature", "y").orderBy("s")
+    carried = edges.select(
+        "feature", "y", "s",
+        F.slice(F.reverse(F.array_sort(F.flatten(F.collect_list("highest").over(
+            order.rowsBetween(Window.unboundedPreceding, -1)))))
+                , 1, k).alias("before"),
+        F.slice(F.array_sort(F.flatten(F.collect_list("lowest").over(
+            order.rowsBetween(1, Window.unboundedFollowing)))), 1, k).alias("after"))
+    ghosts = carried.select("feature", "y", "s", F.explode(F.concat("before", "after")).alias("g")).select(
+        "feature", "y", "s", "g.x", "g.c", F.lit(None).cast("long").alias("n_y"), F.lit(None).cast("int").alias("k"),
+        F.lit(True).alias("ghost"))
+    real = sliced.select("feature", "y", "s", "x", "c", "n_y", F.col("k").cast("int").alias("k"), F.lit(False).alias("ghost"))
+    ordered = part.orderBy("x")
+    near = [f(value, i).over(ordered) for i in range(1, k + 1) for f in (F.lag, F.lead)]
+    radii = cut_lineage(real.unionByName(ghosts).withColumn("near", F.array(*near)).where(~F.col("ghost")).select(
+        "feature", "y", "x", "c", "n_y", "k", _kth_distance(k).alias("d")))
+
+    # points inside each radius: running counts within the slice of each end, plus lower slices
+    totals = sliced.groupBy("feature", "s", "x").agg(F.sum("c").alias("cw"))
+    offsets = totals.groupBy("feature", "s").agg(F.sum("cw").alias("size")).withColumn(
+        "offset", F.coalesce(F.sum("size").over(Window.partitionBy("feature").orderBy("s").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)))
+    who = F.struct("y", "x")
+    ends_ = radii.where("d > 0").select("feature", F.explode(F.array(
+        F.struct((F.col("x") + F.col("d")).alias("at"), F.lit(0).alias("place"), F.lit(1).alias("side"), who.alias("who")),
+        F.struct((F.col("x") - F.col("d")).alias("at"), F.lit(2).alias("place"), F.lit(-1).alias("side"), who.alias("who")),
+    )).alias("e")).select("feature", "e.*").join(cuts, "feature").withColumn("s", _slice_of(F.col("at"))).drop("cuts")
+    values = totals.select("feature", "s", F.col("x").alias("at"), F.lit(1).alias("place"), F.lit(0).alias("side"),
+                           F.lit(None).cast(ends_.schema["who"].dataType).alias("who"), "cw")
+    events = values.unionByName(ends_.withColumn("cw", F.lit(0).cast("long")))
+    running = Window.partitionBy("feature", "s").orderBy("at", "place").rowsBetween(Window.unboundedPreceding, 0)
+    counted = events.withColumn("seen", F.sum("cw").over(running)).where("side <> 0").join(
+        offsets.select("feature", "s", "offset"), ["feature", "s"])
+    spans = counted.groupBy("feature", "who").agg(
+        F.sum((F.col("seen") + F.col("offset")) * F.col("side")).alias("inside")).select(
+        "feature", F.col("who.y").alias("y"), F.col("who.x").alias("x"), "inside")
+    equal = totals.select("feature", "x", F.col("cw").alias("same"))
+    m = F.when(F.col("d") > 0, F.col("inside")).otherwise(F.col("same"))
+    per_point = radii.join(spans, ["feature", "y", "x"], "left").join(equal, ["feature", "x"]).withColumn("m", m)
+    w = F.col("c").cast("double")
+    result = per_point.groupBy("feature").agg(
+        F.greatest(
+            F.lit(0.0),
+            digamma(F.sum(w)) + (
+                F.sum(w * digamma(F.col("k"))) - F.sum(w * digamma(F.col("n_y"))) - F.sum(w * digamma(F.col("m")))
+            ) / F.sum(w),
+        ).alias("mi")
+    ).orderBy(F.desc("mi"), "feature")
+    return result
 
 
 def mutual_info_binned(df: DataFrame, features: Sequence[str], target: str, bins: int = 10) -> DataFrame:

@@ -109,3 +109,49 @@ def test_components_and_released_tables(spark):
     jvm = spark._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     assert not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _ross(xs, ys, k):
+    """Brute-force nearest-neighbour mutual information over (value, class) points."""
+    from collections import Counter
+
+    pts = [(x, y) for x, y in zip(xs, ys) if x is not None and y is not None]
+    n_y = Counter(y for _, y in pts)
+    pts = [(x, y) for x, y in pts if n_y[y] > 1]
+    if not pts:
+        return None
+    psi = lambda v: digamma_exact(v)
+    total = 0.0
+    for i, (x, y) in enumerate(pts):
+        kk = min(k, n_y[y] - 1)
+        d = sorted(abs(x - x2) for j, (x2, y2) in enumerate(pts) if j != i and y2 == y)[kk - 1]
+        m = sum(1 for x2, _ in pts if (abs(x2 - x) < d if d > 0 else x2 == x))
+        total += psi(kk) - psi(n_y[y]) - psi(m)
+    return max(0.0, psi(len(pts)) + total / len(pts))
+
+
+def digamma_exact(v):
+    x, out = float(v), 0.0
+    while x < 8:
+        out -= 1 / x
+        x += 1
+    inv2 = 1 / (x * x)
+    return out + math.log(x) - 0.5 / x - inv2 * (1 / 12 - inv2 * (1 / 120 - inv2 * (1 / 252 - inv2 / 240)))
+
+
+def test_information_in_slices_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(7)
+    rows = []
+    for i in range(700):
+        y = rng.choice("abc") if i % 50 else None
+        x = None if i % 37 == 0 else (7.0 if i % 3 == 0 else float(rng.randrange(60) + 15 * "abc".index(y or "a")))
+        rows.append((i, y, x, float(i % 2)))
+    rows.append((900, "lone", 3.0, 1.0))
+    df = spark.createDataFrame(rows, "row_id long, y string, x double, z double")
+    want = {f: _ross([r[2 if f == "x" else 3] for r in rows], [r[1] for r in rows], 5) for f in ("x", "z")}
+    for slices in (1, 3, 16):
+        got = {r["feature"]: r["mi"] for r in S.mutual_info_knn(df, ["x", "z"], "y", slices=slices).collect()}
+        assert got.keys() == want.keys()
+        assert all(math.isclose(got[f], want[f], rel_tol=1e-9, abs_tol=1e-12) for f in want), (slices, got, want)
