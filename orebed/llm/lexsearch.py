@@ -7,16 +7,22 @@ The score is the sum of ``q * c`` over shared terms.
 
 Method (dual-tree search): documents form a hierarchy. Buckets group documents by a hash of their
 heaviest term; each bucket splits into leaves of about ``LEAF`` documents. Items are dealt into
-blocks of about ``ITEM_BLOCK``. Every node keeps its coordinate maxima per term: the largest
-``c`` in a document node, the largest ``q`` in an item block. For a node pair, the sum of
-``max q * max c`` bounds the score of every (item, document) pair below it. Seeds come from the
-exactly scored documents of each block's best-bounded leaves. The weakest tenth score of its items
-(or 1, where fewer than ten documents score above 0) is the block's threshold. Pairs of buckets,
-then of leaves, whose bound lies below the threshold are pruned whole. This is exact: every pruned
+blocks of about ``ITEM_BLOCK``, the leaves of the item tree being single items. Every node keeps
+its coordinate maxima per term: the largest ``c`` in a document node, the largest ``q`` in an item
+node. For a node pair, the sum of ``max q * max c`` bounds the score of every (item, document) pair
+below it. Seeds come from the exactly scored documents of each block's best-bounded leaves. An
+item's threshold is its tenth seeded score (or 1, where fewer than ten documents score above 0); a
+block's is the weakest of its items. (Item block, bucket) pairs whose bound lies below the block's
+threshold are pruned whole. Below the live ones, (item, leaf) pairs are pruned against the item's
+threshold. This is exact: every pruned
 document scores below the tenth score the item already has, or 0. Surviving leaves are scored
 exactly, and a rank-limited window keeps each item's ten best.
 
-Spark plan: postings (doc, term, tf) come from one explode and aggregate; N and L are two scalars.
+Spark plan: one pass over the texts counts each text's terms inside its row (sorted terms, run
+lengths) and keeps postings only of the item terms (the stated query set, broadcast below
+``BROADCAST_TERMS``), plus one length row per document; nothing of it is shuffled. Leaves are
+hash-balanced (``LEAF`` documents, ``FANOUT`` leaves a bucket). N and L come from the length rows;
+only doc_ids that occur in several rows are pooled by a grouping of their own.
 Node maxima are aggregates with map-side combine. Bounds are joins on term between the block
 maxima of the items (the stated query set) and the node maxima. Exact scores join item terms to
 postings on (bucket, leaf, term), so no key holds more than one leaf's documents. A hot term or a
@@ -48,6 +54,8 @@ LEAF = 256
 FANOUT = 16
 ITEM_BLOCK = 8
 SEED_LEAVES = 2
+#: distinct item terms up to which the asked vocabulary is broadcast (about 100 bytes each)
+BROADCAST_TERMS = 1_000_000
 
 
 def terms(text: Column) -> Column:
@@ -59,6 +67,25 @@ def _counts(rows: DataFrame, key: str) -> DataFrame:
         F.count(F.lit(1)).alias("tf"))
 
 
+def term_counts(rows: DataFrame, text: str = "text", out: str = "tc") -> DataFrame:
+    """``rows`` with an array ``out`` of (term, tf) of its text, counted inside the row.
+
+    The sorted terms are a column of their own, so that the run-length lambdas read it
+    instead of sorting again for every element.
+    """
+    ranked = rows.withColumn("_r", F.sort_array(terms(F.col(text))))
+    starts = ranked.withColumn("_s", F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size("_r"), F.lit(1))),
+        lambda i: (i == 1) | (F.try_element_at("_r", i) != F.try_element_at("_r", F.greatest(i - 1, F.lit(1))))))
+    counts = F.transform(
+        F.sequence(F.lit(1), F.size("_s")),
+        lambda j: F.struct(
+            F.try_element_at("_r", F.element_at("_s", j)).alias("term"),
+            (F.coalesce(F.try_element_at("_s", j + 1), F.size("_r") + 1) - F.element_at("_s", j)).cast("long").alias("tf")))
+    empty = F.array().cast("array<struct<term:string,tf:bigint>>")
+    return starts.withColumn(out, F.when(F.size("_r") == 0, empty).otherwise(counts)).drop("_r", "_s")
+
+
 def _top(ranked: DataFrame, by: list[str], order: list[Column], k: int, name: str = "rank") -> DataFrame:
     """Rows ranked within ``by``; only the first ``k`` kept (Spark limits each group before its shuffle)."""
     window = Window.partitionBy(*by).orderBy(*order)
@@ -66,8 +93,12 @@ def _top(ranked: DataFrame, by: list[str], order: list[Column], k: int, name: st
 
 
 def _scores(item_terms: DataFrame, pairs: DataFrame, postings: DataFrame) -> DataFrame:
-    """Exact (item_id, doc_id, score) of the items of each (iblock, bucket, leaf) pair."""
-    asked = item_terms.join(pairs, "iblock").select("item_id", "term", "q", "bucket", "leaf")
+    """Exact (item_id, doc_id, score) of the pairs' items in their leaves.
+
+    ``pairs`` names (item_id or iblock, bucket, leaf).
+    """
+    key = "item_id" if "item_id" in pairs.columns else "iblock"
+    asked = item_terms.join(pairs, key).select("item_id", "term", "q", "bucket", "leaf")
     joined = asked.join(postings, ["bucket", "leaf", "term"])
     return joined.groupBy("item_id", "doc_id").agg(F.sum(F.col("q") * F.col("c")).alias("score")).where(
         F.col("score") > 0)
@@ -79,36 +110,54 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = 10, doc_id: str = "doc
 
     Given a dict as ``report``, it receives the numbers of (block, leaf) pairs in all and scored.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     asks = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
-    counted = cut_lineage(_counts(texts, "doc_id"))
-    lengths = counted.groupBy("doc_id").agg(F.sum("tf").alias("n"))
+    item_counts = cut_lineage(_counts(asks, "item_id"))
+    vocabulary = item_counts.select("term").distinct().withColumn("asked", F.lit(True))
+    n_vocabulary = vocabulary.count()
+    if n_vocabulary <= BROADCAST_TERMS:
+        vocabulary = F.broadcast(vocabulary)
+    n_rows = texts.count()
+    n_leaves = max(1, math.ceil(n_rows / LEAF))
+    # one pass over the texts: postings of the asked terms, and one length row per document
+    leaf = F.pmod(F.xxhash64("doc_id"), F.lit(n_leaves)).cast("int")
+    counted = term_counts(texts).select(
+        "doc_id", F.floor(leaf / F.lit(FANOUT)).cast("int").alias("bucket"), F.pmod(leaf, F.lit(FANOUT)).cast("int").alias("leaf"),
+        F.aggregate("tc", F.lit(0).cast("long"), lambda a, x: a + x["tf"]).alias("n"),
+        F.explode(F.concat("tc", F.array(F.struct(F.lit(None).cast("string").alias("term"),
+                                                   F.lit(0).cast("long").alias("tf"))))).alias("p"))
+    kept = counted.select("doc_id", "bucket", "leaf", "n", "p.term", "p.tf").join(vocabulary, "term", "left").where(
+        F.col("asked") | (F.col("term").isNull() & (F.col("n") > 0))).drop("asked")
+    index = cut_lineage(kept)
+    # rows sharing a doc_id are one document: only such ids are pooled, the rest pass as they are
+    lengths = cut_lineage(index.where(F.col("term").isNull()).groupBy("doc_id").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")))
     totals = lengths.agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
     n_docs, n_terms = int(totals["N"] or 0), int(totals["L"] or 0)
-    if n_docs == 0:
-        release(counted)
-        return texts.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    weights = cut_lineage(counted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
-        "term", F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2) / (F.lit(2) * F.col("df") + 1).cast("double")))
-        .cast("long").alias("w")))
+    if n_docs == 0 or n_vocabulary == 0:
+        release(item_counts, index, lengths)
+        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     norm = F.lit(100 - 75) + F.expr(f"(75 * n * {n_docs}L) div {n_terms}L")
-    coords = counted.join(lengths.withColumn("m", norm), "doc_id").select(
-        "doc_id", "term", F.expr("(1000000000L * tf) div (1000L * tf + 8L * m)").alias("c"))
-    # document hierarchy: bucket by the heaviest term, leaves by document hash
-    weighted = coords.join(weights, "term")
-    heaviest = weighted.groupBy("doc_id").agg(F.max_by("term", F.struct(F.col("c") * F.col("w"), "term")).alias("top"))
-    n_buckets = max(1, math.ceil(n_docs / (LEAF * FANOUT)))
-    placed = heaviest.select("doc_id", F.pmod(F.xxhash64("top"), F.lit(n_buckets)).cast("int").alias("bucket"))
-    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    placed = placed.join(F.broadcast(sizes), "bucket").select(
-        "doc_id", "bucket", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / F.lit(LEAF))).cast("int").alias("leaf"))
-    postings = cut_lineage(coords.join(placed, "doc_id").select("bucket", "leaf", "term", "doc_id", "c"))
+    coordinate = F.expr("(1000000000L * tf) div (1000L * tf + 8L * m)")
+    asked = index.where(F.col("term").isNotNull())
+    repeated = lengths.where(F.col("rows") > 1).select("doc_id", "n")
+    n_repeated = repeated.count()
+    if n_repeated:
+        repeated = F.broadcast(repeated) if n_repeated <= BROADCAST_TERMS else repeated
+        pooled = asked.join(repeated.select("doc_id"), "doc_id", "left_semi").groupBy("bucket", "leaf", "term", "doc_id").agg(
+            F.sum("tf").alias("tf")).join(repeated, "doc_id")
+        asked = asked.join(repeated.select("doc_id"), "doc_id", "left_anti").unionByName(pooled)
+    postings = asked.withColumn("m", norm).select("bucket", "leaf", "term", "doc_id", coordinate.alias("c"))
+    weights = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
+        "term", F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2) / (F.lit(2) * F.col("df") + 1).cast("double")))
+        .cast("long").alias("w"))
     leaf_max = cut_lineage(postings.groupBy("bucket", "leaf", "term").agg(F.max("c").alias("cmax")))
     bucket_max = leaf_max.groupBy("bucket", "term").agg(F.max("cmax").alias("cmax"))
     # items: coordinates and blocks
     n_items = asks.select("item_id").distinct().count()
     n_blocks = max(1, math.ceil(n_items / ITEM_BLOCK))
-    item_terms = cut_lineage(_counts(asks, "item_id").join(weights, "term").select(
+    item_terms = cut_lineage(item_counts.join(weights, "term").select(
         "item_id", "term", (F.col("tf") * F.col("w")).alias("q"),
         F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)).cast("int").alias("iblock")))
     block_max = item_terms.groupBy("iblock", "term").agg(F.max("q").alias("qmax"))
@@ -125,20 +174,21 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = 10, doc_id: str = "doc
     seeded = _top(_scores(item_terms, seed_leaves.select("iblock", "bucket", "leaf"), postings),
                   ["item_id"], [F.desc("score"), "doc_id"], k)
     kth = seeded.groupBy("item_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(1)).alias("t"))
-    blocks = item_terms.select("item_id", "iblock").distinct().join(kth, "item_id", "left").groupBy("iblock").agg(
-        F.min(F.coalesce("t", F.lit(1))).alias("threshold"))
-    blocks = cut_lineage(blocks)
-    # prune bucket pairs, then leaf pairs, below the block's weakest k-th score
+    thresholds = cut_lineage(item_terms.select("item_id", "iblock").distinct().join(kth, "item_id", "left").select(
+        "item_id", "iblock", F.coalesce("t", F.lit(1)).alias("threshold")))
+    blocks = thresholds.groupBy("iblock").agg(F.min("threshold").alias("threshold"))
+    # prune (item block, bucket) pairs below the block's weakest k-th score, then (item, leaf) pairs below the item's
     live_buckets = bucket_bounds.join(blocks, "iblock").where(F.col("bound") >= F.col("threshold")).select(
-        "iblock", "bucket", "threshold")
-    leaf_pairs = block_max.join(live_buckets, "iblock").join(leaf_max, ["bucket", "term"]).groupBy(
-        "iblock", "bucket", "leaf", "threshold").agg(F.sum(F.col("qmax") * F.col("cmax")).alias("bound"))
-    live_leaves = cut_lineage(leaf_pairs.where(F.col("bound") >= F.col("threshold")).select("iblock", "bucket", "leaf"))
+        "iblock", "bucket")
+    leaf_pairs = item_terms.join(live_buckets, "iblock").join(leaf_max, ["bucket", "term"]).groupBy(
+        "item_id", "bucket", "leaf").agg(F.sum(F.col("q") * F.col("cmax")).alias("bound"))
+    live_leaves = cut_lineage(leaf_pairs.join(thresholds.select("item_id", "threshold"), "item_id").where(
+        F.col("bound") >= F.col("threshold")).select("item_id", "bucket", "leaf"))
     if report is not None:
-        report["leaf_pairs"] = n_blocks * leaf_max.select("bucket", "leaf").distinct().count()
+        report["leaf_pairs"] = n_items * leaf_max.select("bucket", "leaf").distinct().count()
         report["scored_leaf_pairs"] = live_leaves.count()
     best = _top(_scores(item_terms, live_leaves, postings), ["item_id"], [F.desc("score"), "doc_id"], k)
     result = cut_lineage(best.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id",
                                      F.col("score").cast("long").alias("score")))
-    release(counted, weights, postings, leaf_max, item_terms, bucket_bounds, blocks, live_leaves)
+    release(item_counts, index, lengths, leaf_max, item_terms, bucket_bounds, thresholds, live_leaves)
     return result
