@@ -18,9 +18,9 @@ threshold. This is exact: every pruned
 document scores below the tenth score the item already has, or 0. Surviving leaves are scored
 exactly, and a rank-limited window keeps each item's ten best.
 
-Spark plan: one pass over the texts counts each text's terms inside its row (sorted terms, run
-lengths) and keeps postings only of the item terms (the stated query set, broadcast below
-``BROADCAST_TERMS``), plus one length row per document; nothing of it is shuffled. Leaves are
+Spark plan: one pass over the texts keeps the words that are item terms (the stated query set,
+broadcast below ``BROADCAST_TERMS``) and one length row per document, and counts them by
+(doc_id, term) with map-side combining; only those counts are shuffled and written. Leaves are
 hash-balanced (``LEAF`` documents, ``FANOUT`` leaves a bucket). N and L come from the length rows;
 only doc_ids that occur in several rows are pooled by a grouping of their own.
 Node maxima are aggregates with map-side combine. Bounds are joins on term between the block
@@ -67,25 +67,6 @@ def _counts(rows: DataFrame, key: str) -> DataFrame:
         F.count(F.lit(1)).alias("tf"))
 
 
-def term_counts(rows: DataFrame, text: str = "text", out: str = "tc") -> DataFrame:
-    """``rows`` with an array ``out`` of (term, tf) of its text, counted inside the row.
-
-    The sorted terms are a column of their own, so that the run-length lambdas read it
-    instead of sorting again for every element.
-    """
-    ranked = rows.withColumn("_r", F.sort_array(terms(F.col(text))))
-    starts = ranked.withColumn("_s", F.filter(
-        F.sequence(F.lit(1), F.greatest(F.size("_r"), F.lit(1))),
-        lambda i: (i == 1) | (F.try_element_at("_r", i) != F.try_element_at("_r", F.greatest(i - 1, F.lit(1))))))
-    counts = F.transform(
-        F.sequence(F.lit(1), F.size("_s")),
-        lambda j: F.struct(
-            F.try_element_at("_r", F.element_at("_s", j)).alias("term"),
-            (F.coalesce(F.try_element_at("_s", j + 1), F.size("_r") + 1) - F.element_at("_s", j)).cast("long").alias("tf")))
-    empty = F.array().cast("array<struct<term:string,tf:bigint>>")
-    return starts.withColumn(out, F.when(F.size("_r") == 0, empty).otherwise(counts)).drop("_r", "_s")
-
-
 def _top(ranked: DataFrame, by: list[str], order: list[Column], k: int, name: str = "rank") -> DataFrame:
     """Rows ranked within ``by``; only the first ``k`` kept (Spark limits each group before its shuffle)."""
     window = Window.partitionBy(*by).orderBy(*order)
@@ -121,33 +102,31 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = 10, doc_id: str = "doc
     n_rows = texts.count()
     n_leaves = max(1, math.ceil(n_rows / LEAF))
     # one pass over the texts: postings of the asked terms, and one length row per document
+    tokens = texts.select("doc_id", terms(F.col("text")).alias("t")).select(
+        "doc_id", F.size("t").alias("n"), F.explode(F.concat("t", F.array(F.lit(None).cast("string")))).alias("term"))
+    kept = tokens.join(vocabulary, "term", "left").where(F.col("asked") | F.col("term").isNull())
     leaf = F.pmod(F.xxhash64("doc_id"), F.lit(n_leaves)).cast("int")
-    counted = term_counts(texts).select(
+    index = cut_lineage(kept.groupBy("doc_id", "term").agg(
+        F.count(F.lit(1)).alias("tf"), F.max("n").alias("n"), F.sum("n").alias("pooled")).select(
         "doc_id", F.floor(leaf / F.lit(FANOUT)).cast("int").alias("bucket"), F.pmod(leaf, F.lit(FANOUT)).cast("int").alias("leaf"),
-        F.aggregate("tc", F.lit(0).cast("long"), lambda a, x: a + x["tf"]).alias("n"),
-        F.explode(F.concat("tc", F.array(F.struct(F.lit(None).cast("string").alias("term"),
-                                                   F.lit(0).cast("long").alias("tf"))))).alias("p"))
-    kept = counted.select("doc_id", "bucket", "leaf", "n", "p.term", "p.tf").join(vocabulary, "term", "left").where(
-        F.col("asked") | (F.col("term").isNull() & (F.col("n") > 0))).drop("asked")
-    index = cut_lineage(kept)
-    # rows sharing a doc_id are one document: only such ids are pooled, the rest pass as they are
-    lengths = cut_lineage(index.where(F.col("term").isNull()).groupBy("doc_id").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")))
+        "term", "tf", "n", "pooled"))
+    # rows sharing a doc_id are one document: the length row sums their lengths and counts them
+    lengths = index.where(F.col("term").isNull() & (F.col("pooled") > 0)).select(
+        "doc_id", F.col("pooled").alias("n"), F.col("tf").alias("rows"))
     totals = lengths.agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
     n_docs, n_terms = int(totals["N"] or 0), int(totals["L"] or 0)
     if n_docs == 0 or n_vocabulary == 0:
-        release(item_counts, index, lengths)
+        release(item_counts, index)
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     norm = F.lit(100 - 75) + F.expr(f"(75 * n * {n_docs}L) div {n_terms}L")
     coordinate = F.expr("(1000000000L * tf) div (1000L * tf + 8L * m)")
-    asked = index.where(F.col("term").isNotNull())
+    asked = index.where(F.col("term").isNotNull()).select("bucket", "leaf", "term", "doc_id", "tf", "n")
     repeated = lengths.where(F.col("rows") > 1).select("doc_id", "n")
     n_repeated = repeated.count()
     if n_repeated:
         repeated = F.broadcast(repeated) if n_repeated <= BROADCAST_TERMS else repeated
-        pooled = asked.join(repeated.select("doc_id"), "doc_id", "left_semi").groupBy("bucket", "leaf", "term", "doc_id").agg(
-            F.sum("tf").alias("tf")).join(repeated, "doc_id")
-        asked = asked.join(repeated.select("doc_id"), "doc_id", "left_anti").unionByName(pooled)
+        asked = asked.join(repeated.select("doc_id"), "doc_id", "left_anti").unionByName(
+            asked.drop("n").join(repeated, "doc_id").select("bucket", "leaf", "term", "doc_id", "tf", "n"))
     postings = asked.withColumn("m", norm).select("bucket", "leaf", "term", "doc_id", coordinate.alias("c"))
     weights = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2) / (F.lit(2) * F.col("df") + 1).cast("double")))
@@ -190,5 +169,5 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = 10, doc_id: str = "doc
     best = _top(_scores(item_terms, live_leaves, postings), ["item_id"], [F.desc("score"), "doc_id"], k)
     result = cut_lineage(best.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id",
                                      F.col("score").cast("long").alias("score")))
-    release(item_counts, index, lengths, leaf_max, item_terms, bucket_bounds, thresholds, live_leaves)
+    release(item_counts, index, leaf_max, item_terms, bucket_bounds, thresholds, live_leaves)
     return result
