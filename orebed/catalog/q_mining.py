@@ -64,7 +64,7 @@ def c2(spark, sf):
 
 @query("c3_k_scan")
 def c3(spark, sf):
-    return K.k_scan(scaled(spark, sf), NUMERIC, (2, 3, 4), (0, 1), 40_000, 8_000)[0]
+    return K.k_scan(scaled(spark, sf), NUMERIC, tuple(range(2, 9)), (0, 1, 2, 3, 4), 40_000, 8_000, n_init=5)[0]
 
 
 SIL = """

@@ -17,7 +17,7 @@ from orebed.functions.columns import number, quoted, squared_distance_sql
 from orebed.functions.stats import pairs_of
 from orebed.operators.ranking import winner_by
 from orebed.operators.sampling import sample_exact
-from orebed.session import cut_lineage
+from orebed.session import cut_lineage, release
 
 SILHOUETTE_BLOCK = 2_000  # rows on each side of one block of distances
 
@@ -33,22 +33,94 @@ def _vectors(df: DataFrame, cols: Sequence[str], *keep: str) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(df).select(*keep, "features")
 
 
+def _initial_centers(df: DataFrame, cols: Sequence[str], runs: Sequence[tuple[int, int]], key: str) -> dict[int, np.ndarray]:
+    """Start of each (k, seed) run: the k rows with the smallest hash of (key, seed), whatever the partitions."""
+    picks = None
+    for run, (k, seed) in enumerate(runs):
+        complete = F.lit(True)
+        for c in cols:
+            complete = complete & F.col(c).isNotNull() & ~F.isnan(F.col(c))
+        ranked = df.where(complete).select(
+            F.lit(run).alias("run"), F.xxhash64(F.col(key), F.lit(seed)).alias("h"), F.col(key).alias("_key"),
+            *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)]).orderBy("h", "_key").limit(k)
+        picks = ranked if picks is None else picks.unionByName(ranked)
+    starts: dict[int, list] = {}
+    for row in picks.collect():  # at most the sum of k over the runs
+        starts.setdefault(row["run"], []).append([row[f"_x{i}"] for i in range(len(cols))])
+    return {run: np.asarray(points, float) for run, points in starts.items()}
+
+
+def _lloyd_step(cols: Sequence[str], centers: dict[int, np.ndarray]):
+    """Partial sums, counts and costs per (run, centre) of one batch of rows."""
+    names = [f"s{i}" for i in range(len(cols))]
+
+    def run(batches):
+        for batch in batches:
+            x = batch[list(cols)].to_numpy(float)
+            x = x[~np.isnan(x).any(axis=1)]
+            out = []
+            for r, c in centers.items():
+                d2 = (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :]
+                near = np.argmin(d2, axis=1)
+                cost = np.maximum(d2[np.arange(len(x)), near], 0.0)
+                frame = pd.DataFrame({"run": r, "center": np.arange(len(c)),
+                                      "n": np.bincount(near, minlength=len(c)),
+                                      "cost": np.bincount(near, cost, minlength=len(c))})
+                for i, name in enumerate(names):
+                    frame[name] = np.bincount(near, x[:, i], minlength=len(c))
+                out.append(frame)
+            if out:
+                yield pd.concat(out, ignore_index=True)
+
+    schema = "run int, center int, n long, cost double, " + ", ".join(f"{n} double" for n in names)
+    return run, schema, names
+
+
+def kmeans_runs(
+    df: DataFrame, cols: Sequence[str], runs: Sequence[tuple[int, int]], key: str = "row_id",
+    max_iter: int = 20, tol: float = 1e-4,
+) -> list[Centers]:
+    """Lloyd's k-means for many (k, seed) runs at once: one pass over the rows per iteration serves all.
+
+    Rows with a null coordinate take no part. A centre that loses all its rows keeps its place.
+    Runs stop together when no centre of any run moves by more than ``tol`` times the spread of
+    the data, or after ``max_iter`` passes.
+    """
+    data = cut_lineage(df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]))
+    centers = _initial_centers(data, cols, runs, key)
+    ends = data.agg(*[f(c) for c in cols for f in (F.min, F.max)]).first()
+    spread = max([1e-300] + [ends[2 * i + 1] - ends[2 * i] for i in range(len(cols)) if ends[2 * i] is not None])
+    costs = {r: float("inf") for r in centers}
+    for _ in range(max_iter + 1):
+        step, schema, names = _lloyd_step(cols, centers)
+        sums = data.mapInPandas(step, schema).groupBy("run", "center").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(n).alias(n) for n in names]).collect()
+        moved, fresh = 0.0, {r: c.copy() for r, c in centers.items()}
+        costs = {r: 0.0 for r in centers}
+        for row in sums:  # one row per (run, centre)
+            costs[row["run"]] += row["cost"]
+            if row["n"]:
+                point = np.array([row[n] for n in names]) / row["n"]
+                moved = max(moved, float(np.abs(point - centers[row["run"]][row["center"]]).max()))
+                fresh[row["run"]][row["center"]] = point
+        if moved <= tol * spread:
+            break
+        centers = fresh
+    release(data)
+    found = []
+    for run in range(len(runs)):
+        points = sorted(tuple(float(x) for x in p) for p in centers.get(run, np.zeros((0, len(cols)))))
+        found.append(Centers(tuple(cols), tuple(points), costs.get(run, 0.0)))
+    return found
+
+
 def kmeans_fit(
-    df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10, seed: int = 42, max_iter: int = 20
+    df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10, seed: int = 42, max_iter: int = 20,
+    key: str = "row_id",
 ) -> Centers:
-    """Best of ``n_init`` k-means runs; centers are sorted so that labels are stable."""
-    data = _vectors(df, cols).persist()
-    try:
-        best = None
-        for i in range(n_init):
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(data)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model.clusterCenters())
-    finally:
-        data.unpersist()
-    points = sorted(tuple(float(x) for x in c) for c in best[1])
-    return Centers(tuple(cols), tuple(points), float(best[0]))
+    """Best of ``n_init`` k-means starts, all fitted in the same passes; centers are sorted so that labels are stable."""
+    fits = kmeans_runs(df, cols, [(k, seed + i) for i in range(n_init)], key, max_iter)
+    return min(fits, key=lambda f: f.cost)
 
 
 def assign_nearest(df: DataFrame, centers: Centers, out: str = "cluster", distance: str | None = None) -> DataFrame:
@@ -150,17 +222,19 @@ def k_scan(
     df: DataFrame, cols: Sequence[str], ks: Sequence[int], seeds: Sequence[int],
     sample: int = 40_000, silhouette_rows: int | None = 8_000, n_init: int = 1, key: str = "row_id",
 ) -> tuple[DataFrame, DataFrame]:
-    """Inertia and silhouette of each k on several samples: the summary and the wins per k."""
+    """Inertia and silhouette of each k on several samples: the summary and the wins per k.
+
+    On each sample, all k and all ``n_init`` starts are fitted in the same passes.
+    """
     runs = []
     for seed in seeds:
-        part = sample_exact(df.select(key, *cols), sample, seed, key).persist()
-        try:
-            for k in ks:
-                fit = kmeans_fit(part, cols, k, n_init, seed)
-                s = silhouette_exact(assign_nearest(part, fit), cols, "cluster", silhouette_rows, seed, key)
-                runs.append((seed, k, fit.cost, s.first()["silhouette"]))
-        finally:
-            part.unpersist()
+        part = cut_lineage(sample_exact(df.select(key, *cols), sample, seed, key))
+        plan = [(k, seed * 1000 + i) for k in ks for i in range(n_init)]
+        fits = kmeans_runs(part, cols, plan, key)
+        for k in ks:
+            fit = min((f for (kk, _), f in zip(plan, fits) if kk == k), key=lambda f: f.cost)
+            s = silhouette_exact(assign_nearest(part, fit), cols, "cluster", silhouette_rows, seed, key)
+            runs.append((seed, k, fit.cost, s.first()["silhouette"]))
     table = df.sparkSession.createDataFrame(runs, "seed int, k int, inertia double, silhouette double")
     summary = table.groupBy("k").agg(
         F.avg("inertia").alias("inertia"), F.avg("silhouette").alias("silhouette"),

@@ -55,7 +55,7 @@ def segment(
 ) -> dict[str, DataFrame]:
     """K-means labels of all rows and the named profile of each segment."""
     cols = [c for c in scores.columns if c != key]
-    labels = cut_lineage(K.assign_nearest(scores, K.kmeans_fit(scores, cols, k, n_init, seed)).select(key, "cluster"))
+    labels = cut_lineage(K.assign_nearest(scores, K.kmeans_fit(scores, cols, k, n_init, seed, key=key)).select(key, "cluster"))
     joined = labels.join(original, key).join(label, key)
     profile = cluster_profile(joined, "cluster", features, bad)
     return {"labels": labels, "profile": K.name_clusters(profile, "cluster", "outcome_pct")}

@@ -155,3 +155,36 @@ def test_information_in_slices_equals_brute_force(spark):
         got = {r["feature"]: r["mi"] for r in S.mutual_info_knn(df, ["x", "z"], "y", slices=slices).collect()}
         assert got.keys() == want.keys()
         assert all(math.isclose(got[f], want[f], rel_tol=1e-9, abs_tol=1e-12) for f in want), (slices, got, want)
+
+
+def _lloyd(points, start, iters=100):
+    import numpy as np
+
+    c = np.array(start, float)
+    for _ in range(iters):
+        d2 = ((points[:, None, :] - c[None, :, :]) ** 2).sum(-1)
+        near = d2.argmin(1)
+        fresh = np.array([points[near == j].mean(0) if (near == j).any() else c[j] for j in range(len(c))])
+        if np.allclose(fresh, c, rtol=0, atol=1e-12):
+            break
+        c = fresh
+    return sorted(map(tuple, c))
+
+
+def test_kmeans_runs_share_passes_and_ignore_partitions(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    pts = np.concatenate([rng.normal(m, 0.3, (60, 2)) for m in ((0, 0), (4, 1), (1, 5))])
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(pts)] + [(500, None, 1.0)]
+    df = spark.createDataFrame(rows, "row_id long, x double, y double")
+    runs = [(k, s) for k in (2, 3, 4) for s in (0, 1)]
+    whole = K.kmeans_runs(df, ["x", "y"], runs, max_iter=100, tol=0.0)
+    split = K.kmeans_runs(df.repartition(16), ["x", "y"], runs, max_iter=100, tol=0.0)
+    for (k, s), a, b in zip(runs, whole, split):
+        assert len(a.points) == k and np.allclose(a.points, b.points, atol=1e-9) and math.isclose(a.cost, b.cost, rel_tol=1e-9)
+        starts = sorted(df.where("x IS NOT NULL").selectExpr("xxhash64(row_id, %d) AS h" % s, "row_id", "x", "y")
+                        .orderBy("h", "row_id").limit(k).select("x", "y").collect())
+        assert np.allclose(a.points, _lloyd(pts, [tuple(r) for r in starts]), atol=1e-9)
+    best = K.kmeans_fit(df, ["x", "y"], 3, n_init=3, seed=0)
+    assert math.isclose(best.cost, min(f.cost for f in K.kmeans_runs(df, ["x", "y"], [(3, 0), (3, 1), (3, 2)])), rel_tol=1e-12)
