@@ -334,22 +334,23 @@ PRUNED = (
 )
 
 
-def pruned(spark, sf):
-    return S.prune_correlated(full_profile(spark, sf), PRUNE, 0.85, ["o_totalprice", "price_sum"], "o_totalprice")
+def pruned(df):
+    return S.prune_correlated(df, PRUNE, 0.85, ["o_totalprice", "price_sum"], "o_totalprice")
 
 
 @query("f1_prune_correlated", PRUNED + "SELECT count(*) AS strong_pairs, " + r6("max(r)") + f" AS strongest, {len(PRUNE)} - (SELECT len(lost) FROM final) AS kept FROM s")
 def f1(spark, sf):
-    pairs = R.pair_correlations(full_profile(spark, sf), PRUNE)
+    df = cut_lineage(full_profile(spark, sf))
+    pairs = R.pair_correlations(df, PRUNE)
     strong = spark.createDataFrame(pairs, "a string, b string, r double").where("abs(r) > 0.85")
-    kept = [c for c in pruned(spark, sf)[0].columns if c in PRUNE]
+    kept = [c for c in pruned(df)[0].columns if c in PRUNE]
     return rounded(strong.agg(
         F.count(F.lit(1)).alias("strong_pairs"), F.max(F.abs("r")).alias("strongest"), F.lit(len(kept)).cast("long").alias("kept")), ["strongest"])
 
 
 @query("f1_kept_columns", PRUNED + "SELECT feature, list_contains(lost, feature) AS dropped FROM names, final")
 def f1b(spark, sf):
-    lost = pruned(spark, sf)[1]
+    lost = pruned(full_profile(spark, sf))[1]
     return spark.createDataFrame([(c, c in lost) for c in PRUNE], "feature string, dropped boolean")
 
 

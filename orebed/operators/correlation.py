@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from orebed.functions.columns import quoted
 from orebed.functions.orderstats import aggregate_row
+from orebed.session import cut_lineage, release
 
-EXPRESSION_PAIRS = 200  # pairs computed as plain aggregates in one pass; the result is the same beyond
+EXPRESSION_PAIRS = 200  # pairs up to which those whose sums cancel are computed again as plain aggregates
+CANCELLED = 1e-6  # variance, as a share of the sum of squares, below which centred sums are not trusted
 ROUNDING = 1e-12  # variance, as a share of the sum of squares, that rounding alone can leave
 GRAM_SCHEMA = (
     "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
@@ -27,7 +29,8 @@ def _gram_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     p(p+1)/2 rows, whatever the number of input rows. Values are centred by the
     column means first, so that squares do not cancel.
     """
-    means = aggregate_row(df, [F.avg(F.nanvl(F.col(quoted(c)).cast("double"), F.lit(None))) for c in cols])
+    df = df.select(*[F.col(quoted(c)).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    means = aggregate_row(df, [F.avg(F.nanvl(F.col(c), F.lit(None))) for c in df.columns])
     shift = np.array([m if m is not None else 0.0 for m in means])
     p = len(cols)
 
@@ -45,7 +48,7 @@ def _gram_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             "sxx": q[i, j], "syy": q[j, i], "sxy": xy[i, j],
         })
 
-    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(fold, GRAM_SCHEMA)
+    parts = df.mapInPandas(fold, GRAM_SCHEMA)
     return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
 
 
@@ -64,25 +67,35 @@ def pair_correlations(df: DataFrame, cols: Sequence[str]) -> list[tuple[str, str
 
     r is null where either side does not vary among the complete rows. The
     p (p - 1) / 2 numbers come to the driver: meant for some thousand columns.
+    The columns are written once, narrow, so that ``df`` is computed once. Up to
+    ``EXPRESSION_PAIRS`` pairs, those whose centred sums cancel are settled by
+    plain aggregates, which tell a constant side exactly.
     """
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if len(pairs) <= EXPRESSION_PAIRS:
-        out = []
-        found = aggregate_row(df, [F.expr(_pair_sql(cols[i], cols[j])) for i, j in pairs], 40)
-        for (i, j), v in zip(pairs, found):
-            varies = v["x0"] is not None and v["x0"] < v["x1"] and v["y0"] < v["y1"] and v["vx"] * v["vy"] > 0
-            out.append((cols[i], cols[j], v["c"] / math.sqrt(v["vx"] * v["vy"]) if varies else None))
-        return out
-    found = {}
-    for r in _gram_sums(df, cols).where("i < j").collect():
+    if not pairs:
+        return []
+    names = [f"x{i}" for i in range(len(cols))]
+    narrow = cut_lineage(df.select(*[F.col(quoted(c)).cast("double").alias(x) for c, x in zip(cols, names)]))
+    exact = len(pairs) <= EXPRESSION_PAIRS
+    least = CANCELLED if exact else ROUNDING
+    found, sure = {}, set()
+    for r in _gram_sums(narrow, names).where("i < j").collect():
         if r["n"] > 1:
             cov = r["sxy"] - r["sx"] * r["sy"] / r["n"]
             vx = r["sxx"] - r["sx"] ** 2 / r["n"]
             vy = r["syy"] - r["sy"] ** 2 / r["n"]
-            if vx > ROUNDING * r["sxx"] and vy > ROUNDING * r["syy"]:
-                found[r["i"], r["j"]] = cov / np.sqrt(vx * vy)
-    return [(cols[i], cols[j], float(found[i, j]) if (i, j) in found else None) for i, j in pairs]
+            if vx > least * r["sxx"] and vy > least * r["syy"]:
+                found[r["i"], r["j"]] = float(cov / np.sqrt(vx * vy))
+        else:
+            sure.add((r["i"], r["j"]))  # no two complete rows: nothing varies
+    open_ = [p for p in pairs if p not in found and p not in sure] if exact else []
+    for p, v in zip(open_, aggregate_row(narrow, [F.expr(_pair_sql(names[i], names[j])) for i, j in open_], 40)):
+        varies = v["x0"] is not None and v["x0"] < v["x1"] and v["y0"] < v["y1"] and v["vx"] * v["vy"] > 0
+        if varies:
+            found[p] = v["c"] / math.sqrt(v["vx"] * v["vy"])
+    release(narrow)
+    return [(cols[i], cols[j], found.get((i, j))) for i, j in pairs]
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -188,3 +188,27 @@ def test_kmeans_runs_share_passes_and_ignore_partitions(spark):
         assert np.allclose(a.points, _lloyd(pts, [tuple(r) for r in starts]), atol=1e-9)
     best = K.kmeans_fit(df, ["x", "y"], 3, n_init=3, seed=0)
     assert math.isclose(best.cost, min(f.cost for f in K.kmeans_runs(df, ["x", "y"], [(3, 0), (3, 1), (3, 2)])), rel_tol=1e-12)
+
+
+def test_correlations_compute_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    cols = [f"c{i}" for i in range(11)]
+    df = spark.range(200).selectExpr(*[f"CAST((id * {2 * i + 3}) % 37 AS DOUBLE) AS {c}" for i, c in enumerate(cols)])
+    found = R.pair_correlations(df.mapInPandas(count, df.schema), cols)
+    assert seen.value == 200
+    for a, b, r in found:
+        assert math.isclose(r, df.stat.corr(a, b), abs_tol=1e-9)
+
+
+def test_correlations_of_sides_far_from_the_mean(spark):
+    """Centred sums cancel where the complete rows of a pair lie close together, far from the column's mean."""
+    rows = [(1e6 + i * 1e-3, float(i * i % 11)) if i < 40 else (-float(i), None) for i in range(80)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    expected = df.where("b is not null").stat.corr("a", "b")
+    assert math.isclose(R.pair_correlations(df, ["a", "b"])[0][2], expected, abs_tol=1e-9)
