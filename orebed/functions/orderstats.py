@@ -9,9 +9,11 @@ checks the bracket, and only the few values left inside it are listed.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,23 +120,67 @@ def order_statistics(
     raise RuntimeError("order statistics did not converge")
 
 
+def _sorted_columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Values of each column, nulls left out; NaN sorts last, as in Spark."""
+    return [c.drop_null().to_numpy(zero_copy_only=False) + 0.0 for c in batch.columns]
+
+
+def _inside(values: np.ndarray, lo: float, hi: float) -> np.ndarray:
+    low = np.isnan(values) | (values >= lo) if lo == lo else np.isnan(values)
+    return low & (values <= hi) if hi == hi else low
+
+
 def _list_brackets(df: DataFrame, ready: list[_Bracket]) -> None:
-    """Read off ranks from the distinct values of brackets that are small."""
-    for part in chunks(ready, 50):
-        cells = F.array(*[
-            F.when(F.col(b.col).between(b.lo, b.hi), F.struct(F.lit(i).alias("b"), F.col(b.col).alias("v")))
-            for i, b in enumerate(part)
-        ])
-        rows = (
-            df.select(F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("c"))
-            .groupBy("c.b", "c.v").count().orderBy("b", "v").collect()
-        )
-        seen = [b.below for b in part]
-        for i, v, n in rows:
-            b = part[i]
-            if b.value is None and seen[i] <= b.rank < seen[i] + n:
-                b.value = v
-            seen[i] += n
+    """Read off ranks from the distinct values of brackets that are small; tasks send on these only."""
+    if not ready:
+        return
+    by_column: dict[int, list[_Bracket]] = {}
+    for b in ready:
+        by_column.setdefault(df.columns.index(b.col), []).append(b)
+    spans = {i: [(b.lo, b.hi) for b in held] for i, held in by_column.items()}
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = _sorted_columns(batch)
+            for i, wanted in spans.items():
+                held = np.zeros(len(columns[i]), bool)
+                for lo, hi in wanted:
+                    held |= _inside(columns[i], lo, hi)
+                v, n = np.unique(columns[i][held], return_counts=True)
+                if len(v):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), i, "int32")), pa.array(v), pa.array(n)], ["c", "v", "n"])
+
+    rows = df.mapInArrow(fold, "c int, v double, n long").groupBy("c", "v").agg(F.sum("n").alias("n")).orderBy("c", "v").collect()
+    values: dict[int, list[tuple[float, int]]] = {}
+    for c, v, n in rows:
+        values.setdefault(c, []).append((v, n))
+    for i, held in by_column.items():
+        v, n = (np.array(x) for x in zip(*values[i]))
+        for b in held:
+            own = _inside(v, b.lo, b.hi)
+            at = int(np.searchsorted(np.cumsum(n[own]) + b.below, b.rank, "right"))
+            b.value = float(v[own][at])
+
+
+def _counts_at(df: DataFrame, cuts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Rows of each column in 2 k + 1 slots around its k sorted cuts: slot 2 i lies below cut i, slot 2 i + 1 on it."""
+    wanted = {df.columns.index(c): at for c, at in cuts.items()}
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = {i: np.zeros(2 * len(at) + 1, "int64") for i, at in wanted.items()}
+        for batch in batches:
+            columns = _sorted_columns(batch)
+            for i, at in wanted.items():
+                slot = np.searchsorted(at, columns[i], "left") + np.searchsorted(at, columns[i], "right")
+                seen[i] += np.bincount(slot, minlength=len(seen[i]))
+        for i, n in seen.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(n), i, "int32")), pa.array(np.arange(len(n), dtype="int32")), pa.array(n)], ["c", "slot", "n"])
+
+    out = {c: np.zeros(2 * len(at) + 1, "int64") for c, at in cuts.items()}
+    for c, slot, n in df.mapInArrow(fold, "c int, slot int, n long").groupBy("c", "slot").agg(F.sum("n")).collect():
+        out[df.columns[c]][slot] = n
+    return out
 
 
 def _narrow(df: DataFrame, wide: list[_Bracket]) -> None:
@@ -142,23 +188,30 @@ def _narrow(df: DataFrame, wide: list[_Bracket]) -> None:
     if not wide:
         return
     slack = 2.0 / SKETCH_ACCURACY
-    sketches = aggregate_row(df, [
-        F.percentile_approx(
-            F.when(F.col(b.col).between(b.lo, b.hi), F.col(b.col)),
-            [max(0.0, (b.rank - b.below) / b.inside - slack),
-             min(1.0, (b.rank - b.below + 1) / b.inside + slack)],
-            SKETCH_ACCURACY,
-        )
-        for b in wide
-    ])
+    ranges: dict[tuple, list[int]] = {}  # brackets over the same values share one sketch
+    for i, b in enumerate(wide):
+        ranges.setdefault((b.col, b.lo, b.hi), []).append(i)
     exprs = []
+    for (c, lo, hi), members in ranges.items():
+        probs = []
+        for b in (wide[i] for i in members):
+            probs += [max(0.0, (b.rank - b.below) / b.inside - slack),
+                      min(1.0, (b.rank - b.below + 1) / b.inside + slack)]
+        exprs.append(F.percentile_approx(F.when(F.col(c).between(lo, hi), F.col(c)), probs, SKETCH_ACCURACY))
+    sketches: list = [None] * len(wide)
+    for members, ends in zip(ranges.values(), aggregate_row(df, exprs)):
+        for k, i in enumerate(members):
+            sketches[i] = ends[2 * k : 2 * k + 2]
+    cuts: dict[str, set[float]] = {}
+    for b, ends in zip(wide, sketches):
+        cuts.setdefault(b.col, set()).update(ends)
+    places = {c: np.unique(np.array(list(ends), float) + 0.0) for c, ends in cuts.items()}
+    upto = {c: np.concatenate([[0], np.cumsum(n)]) for c, n in _counts_at(df, places).items()}
     for b, (lo, hi) in zip(wide, sketches):
-        c = F.col(b.col)
-        exprs += [F.count_if(c < lo), F.count_if(c.between(lo, hi)),
-                  F.count_if((c > lo) & (c < hi))]
-    counted = aggregate_row(df, exprs)
-    for i, (b, (lo, hi)) in enumerate(zip(wide, sketches)):
-        below, inside, light = counted[3 * i : 3 * i + 3]
+        first, last = (2 * int(np.searchsorted(places[b.col], x)) + 1 for x in (lo, hi))
+        run = upto[b.col]
+        below, inside = int(run[first]), int(run[last + 1] - run[first])
+        light = max(0, int(run[last] - run[first + 1]))
         if below <= b.rank < below + inside:
             b.lo, b.hi, b.below, b.inside, b.light = lo, hi, below, inside, light
         elif b.rank < below:

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from orebed.functions import orderstats as O
 from orebed.operators import anomaly as A
 from orebed.operators import clustering as K
 from orebed.operators import correlation as R
@@ -212,3 +213,17 @@ def test_correlations_of_sides_far_from_the_mean(spark):
     df = spark.createDataFrame(rows, "a double, b double")
     expected = df.where("b is not null").stat.corr("a", "b")
     assert math.isclose(R.pair_correlations(df, ["a", "b"])[0][2], expected, abs_tol=1e-9)
+
+
+def test_quantiles_share_one_sketch_per_column(spark, monkeypatch):
+    """All ranks of a column start from the same bracket: a sketch each would read every value once per rank."""
+    sketched = []
+    plain = F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda c, p, acc: sketched.append(len(p)) or plain(c, p, acc))
+    df = spark.range(6000).selectExpr("CAST((id * 37) % 5987 AS DOUBLE) AS a", "CAST(IF(id % 7 = 0, NULL, id * id % 4999) AS DOUBLE) AS b")
+    probs = [i / 10 for i in range(11)]
+    found = O.exact_quantiles(df, ["a", "b"], probs, small_rows=10)
+    assert len(sketched) == 2
+    small = O.exact_quantiles(df, ["a", "b"], probs)
+    for c in ("a", "b"):
+        assert all(math.isclose(x, y) for x, y in zip(found[c], small[c]))
