@@ -13,6 +13,7 @@ from orebed.functions.orderstats import order_statistics
 
 TOP_ROWS = 100_000     # largest sample taken as one top-n merge
 TOP_SLICES = 64  # parts of a group that are ranked before they meet
+NAMED_GROUPS = 100_000  # groups whose cuts are sent to every task
 PLAIN_ROWS = 1_000_000  # tables whose tasks may each offer n rows to that merge
 
 
@@ -48,17 +49,19 @@ def _below_cuts(df: DataFrame, by: Sequence[str], n: int, value: str) -> DataFra
     """Rows of ``df`` that can be among the ``n`` smallest ``value`` (uniform in [0, 1)) of their group.
 
     Group sizes give each group a cut that leaves a little more than ``n`` rows;
-    groups that fall short get a wider one, until none does.
+    groups that fall short get a wider one, until none does. The cuts of up to
+    ``NAMED_GROUPS`` groups are broadcast, so that no group is gathered to meet its cut.
     """
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    groups = sizes.count()
     slack = 8 * math.sqrt(n) + 50
     while True:
         named = sizes.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], ((n + slack) / F.col("_n")).alias("_cut"), "_n")
         match = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)]
-        cut = df.join(named, match).where(F.col(value) < F.col("_cut"))
+        cut = df.join(F.broadcast(named) if groups <= NAMED_GROUPS else named, match).where(F.col(value) < F.col("_cut"))
         left = cut.groupBy(*[f"_g{i}" for i in range(len(by))]).agg(F.count(F.lit(1)).alias("_left"), F.first("_n").alias("_n"))
         met = left.agg(F.count(F.lit(1)), F.count_if(F.col("_left") < F.least(F.lit(n), F.col("_n")))).first()
-        if not met[1] and met[0] == sizes.count():
+        if not met[1] and met[0] == groups:
             return cut.drop("_cut", "_n", *[f"_g{i}" for i in range(len(by))])
         slack *= 4
 
