@@ -16,7 +16,7 @@ from orebed.functions.stats import chi2_quantile
 from orebed.operators.columns import moments
 from orebed.operators.correlation import covariance
 from orebed.operators.ranking import largest_gap, percentile_threshold, top_cut
-from orebed.session import cut_lineage
+from orebed.session import cut_lineage, release
 
 
 def _false(c: Column) -> Column:
@@ -122,6 +122,17 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> pd.DataFrame:
     return pd.DataFrame(nodes, columns=["feature", "cut", "left", "path"])
 
 
+def _walkable(tree: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Arrays of one tree in which a leaf leads to itself, and the number of levels to walk."""
+    feature, cut, left, path = (tree[c].to_numpy() for c in ("feature", "cut", "left", "path"))
+    leaf = feature < 0
+    level = np.zeros(len(tree), dtype=int)
+    for at in np.flatnonzero(~leaf):  # children stand behind their parent
+        level[left[at] : left[at] + 2] = level[at] + 1
+    own = np.where(leaf, np.arange(len(tree)), left)
+    return np.where(leaf, 0, feature), np.where(leaf, np.inf, cut), own, path, int(level.max(initial=0))
+
+
 def isolation_trees(
     df: DataFrame, cols: Sequence[str], trees: int = 100, psi: int = 256, seed: int = 42, key: str = "row_id"
 ) -> DataFrame:
@@ -139,12 +150,12 @@ def isolation_trees(
     while True:
         share = min(1.0, factor * psi / max(size, 1))
         cut = F.lit(int(share * 2**53))
-        draw = lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(2**53))
-        mine = F.filter(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-            t.alias("tree"), draw(t).alias("_h"))), lambda x: x["_h"] < cut)
-        likely = rows.withColumn("_d", F.explode(mine)).select(key, *names, "_d.tree", "_d._h")
+        each = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+        drawn = each.withColumn("_h", F.pmod(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), F.lit(2**53))).where(F.col("_h") < cut)
+        likely = cut_lineage(drawn)  # about ``factor * psi`` rows a tree, counted and then ranked
         if share >= 1.0 or likely.groupBy("tree").count().where(F.col("count") >= wanted).count() == trees:
             break
+        release(likely)
         factor *= 4
     per_tree = Window.partitionBy("tree").orderBy("_h", key)
     drawn = likely.withColumn("_rn", F.row_number().over(per_tree)).where(F.col("_rn") <= psi)
@@ -187,10 +198,7 @@ def isolation_scores(
     """(key, score) of every row; the score is null where a feature is."""
     names = list(cols)
     nodes = isolation_trees(df, names, trees, psi, seed, key).toPandas().sort_values(["tree", "node"])
-    forest = [
-        (t["feature"].to_numpy(), t["cut"].to_numpy(), t["left"].to_numpy(), t["path"].to_numpy())
-        for _, t in nodes.groupby("tree")
-    ]
+    forest = [_walkable(t) for _, t in nodes.groupby("tree")]
     norm = float(_path_constant(nodes["rows"].max())) if len(nodes) else 0.0
     shared = df.sparkSession.sparkContext.broadcast((forest, norm))
     rows = df.select(key, *names)
@@ -201,13 +209,11 @@ def isolation_scores(
             x = batch[names].to_numpy(dtype=float)
             known = ~np.isnan(x).any(axis=1)
             depth = np.zeros(len(x))
-            for feature, cut, left, path in grown:
+            flat, base = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * len(names)
+            for feature, cut, left, path, levels in grown:
                 at = np.zeros(len(x), dtype=int)
-                open_ = np.nonzero(feature[at] >= 0)[0]
-                while len(open_):
-                    node = at[open_]
-                    at[open_] = left[node] + (x[open_, feature[node]] > cut[node])
-                    open_ = open_[feature[at[open_]] >= 0]
+                for _ in range(levels):
+                    at = left[at] + (flat[base + feature[at]] > cut[at])
                 depth += path[at]
             found = np.where(known, 2.0 ** (-depth / (len(grown) * c)), np.nan) if c > 0 else np.where(known, 0.5, np.nan)
             yield pd.DataFrame({key: batch[key], out: pd.Series(found, index=batch.index).astype("Float64")})
