@@ -20,6 +20,8 @@ from orebed.operators.sampling import sample_exact
 from orebed.session import cut_lineage, release
 
 SILHOUETTE_BLOCK = 2_000  # rows on each side of one block of distances
+SILHOUETTE_GROUPS = 24  # groups that rows are dealt into: a row is sent this often to each side
+GROUP_ROWS = 1_000_000  # rows of a group, at most about; beyond that there are more groups
 
 
 @dataclass(frozen=True)
@@ -155,24 +157,43 @@ def hierarchical_bisect(df: DataFrame, cols: Sequence[str], k: int, seed: int =
         *df.columns, out)
 
 
-def _distance_sums(rows: DataFrame, names: list[str], key: str, blocks: int) -> DataFrame:
+def _distance_sums(rows: DataFrame, names: list[str], key: str, groups: int) -> DataFrame:
     """(key, other, total): summed distance of each row to the rows of each cluster.
 
-    Blocks of rows meet in separate tasks, which hold one block of distances and
-    give back one number per row and cluster, so no pair is ever emitted.
+    Groups of rows meet in separate tasks, which hold two groups and one block of
+    distances, and give back one number per row and cluster, so no pair is ever
+    emitted. The number of groups does not grow with the rows until a group would
+    exceed ``GROUP_ROWS``, so neither does the number of times a row is sent.
     """
-    own = F.pmod(F.xxhash64(key), F.lit(blocks))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.select("*", own.alias("g"), every.alias("h")).groupBy("g", "h")
-    right = rows.select("*", own.alias("h"), every.alias("g")).groupBy("g", "h")
+    own = F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")  # of one type on both sides, so that equal groups meet
+    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    # named anew on both sides: columns that a cogroup shares with itself may be pruned from one of them
+    held = [F.col(c).alias(c) for c in (key, "_label", *names)]
+    dealt = lambda side: side.repartition(groups * groups, "_g", "_h").groupBy("_g", "_h")
+    left = dealt(rows.select(*held, own.alias("_g"), every.alias("_h")))
+    right = dealt(rows.select(*held, own.alias("_h"), every.alias("_g")))
+    block = SILHOUETTE_BLOCK
 
     def meet(mine: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         x, y = mine[names].to_numpy(dtype=float), held[names].to_numpy(dtype=float)
         labels, code = np.unique(held["_label"].to_numpy(), return_inverse=True)
-        d2 = np.zeros((len(x), len(y)))
-        for j in range(x.shape[1]):
-            d2 += (x[:, j : j + 1] - y[None, :, j]) ** 2
-        sums = np.sqrt(d2, out=d2) @ np.eye(len(labels))[code]
+        order = np.argsort(code, kind="stable")
+        y, code = y[order], code[order]
+        sums = np.zeros((len(x), len(labels)))
+        for low in range(0, len(y), block):
+            part, kind = y[low : low + block], code[low : low + block]
+            starts = np.flatnonzero(np.diff(kind, prepend=-1))
+            for top in range(0, len(x), block):
+                some = x[top : top + block]
+                d2 = np.zeros((len(some), len(part)))
+                for j in range(x.shape[1]):
+                    d = some[:, j : j + 1] - part[None, :, j]
+                    d2 += np.multiply(d, d, out=d)
+                dist = np.sqrt(d2, out=d2)
+                if len(starts) == 1:
+                    sums[top : top + block, kind[0]] += dist.sum(axis=1)
+                else:
+                    sums[top : top + block, kind[starts]] += np.add.reduceat(dist, starts, axis=1)
         return pd.DataFrame({
             key: np.repeat(mine[key].to_numpy(), len(labels)), "other": np.tile(labels, len(x)), "total": sums.ravel()})
 
@@ -194,7 +215,8 @@ def silhouette_samples(
     n = rows.count()
     named = rows.withColumn("_label", F.col(label))
     sizes = rows.groupBy(F.col(label).alias("other")).agg(F.count(F.lit(1)).alias("size"))
-    sums = _distance_sums(named, list(cols), key, max(1, -(-n // SILHOUETTE_BLOCK)))
+    groups = max(1, min(SILHOUETTE_GROUPS, -(-n // SILHOUETTE_BLOCK)), -(-n // GROUP_ROWS))
+    sums = _distance_sums(named, list(cols), key, groups)
     per = sums.join(sizes, "other").join(rows.select(key, label), key)
     inner, mean = F.col("other") == F.col(label), F.col("total") / F.col("size")
     both = per.groupBy(key, label).agg(

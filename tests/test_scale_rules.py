@@ -227,3 +227,54 @@ def test_quantiles_share_one_sketch_per_column(spark, monkeypatch):
     small = O.exact_quantiles(df, ["a", "b"], probs)
     for c in ("a", "b"):
         assert all(math.isclose(x, y) for x, y in zip(found[c], small[c]))
+
+
+def test_silhouette_sends_rows_a_bounded_number_of_times(spark, monkeypatch):
+    monkeypatch.setattr(K, "SILHOUETTE_BLOCK", 7)
+    monkeypatch.setattr(K, "SILHOUETTE_GROUPS", 3)
+    asked = []
+    plain = K._distance_sums
+    monkeypatch.setattr(K, "_distance_sums", lambda rows, names, key, groups: asked.append(groups) or plain(rows, names, key, groups))
+    rows = [(i, float(i % 13), float(i * i % 17), i % 4) for i in range(90)]
+    df = spark.createDataFrame(rows, "row_id long, x double, y double, g int")
+    got = {r["row_id"]: r["silhouette"] for r in K.silhouette_samples(df, ["x", "y"], "g", None).collect()}
+    assert asked == [3]
+    assert K.silhouette_samples(df, ["x", "y"], "g", None).count() == 90
+    for i, x, y, g in rows:
+        mean = {}
+        for k in range(4):
+            d = [math.dist((x, y), (u, v)) for j, u, v, h in rows if h == k and j != i]
+            mean[k] = sum(d) / len(d)
+        a, b = mean[g], min(m for k, m in mean.items() if k != g)
+        assert math.isclose(got[i], (b - a) / max(a, b), abs_tol=1e-12)
+
+
+def test_group_cuts_are_broadcast(spark):
+    df = spark.range(5000).selectExpr("id AS row_id", "IF(id % 9 < 8, 'hot', NULL) AS g", "id / 5000 AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = W._below_cuts(df, ["g"], 5, "v")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_isolation_trees_draw_in_one_pass(spark):
+    """The drawn rows are read from a written table, not drawn again for the ranking."""
+    df = spark.range(3000).selectExpr("id AS row_id", "CAST(id * 7 % 101 AS DOUBLE) AS a", "CAST(id * id % 97 AS DOUBLE) AS b")
+    plan = A.isolation_trees(df, ["a", "b"], 5, 16)._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" not in plan and "Generate" not in plan
+
+
+def test_walkable_tree_gives_the_paths_of_its_nodes():
+    rng = A.np.random.default_rng(5)
+    x = rng.normal(size=(64, 3))
+    tree = A._grow(x, A.np.random.default_rng(1), 6)
+    feature, cut, left, path, levels = A._walkable(tree)
+    for row in list(x) + [A.np.array([float("inf")] * 3)]:
+        node, at = 0, 0
+        while tree["feature"][node] >= 0:
+            node = tree["left"][node] + int(row[tree["feature"][node]] > tree["cut"][node])
+        for _ in range(levels):
+            at = left[at] + int(row[feature[at]] > cut[at])
+        assert path[at] == tree["path"][node]
