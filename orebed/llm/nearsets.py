@@ -39,7 +39,7 @@ SLOTS = 127  # prime: x -> a x + c permutes the slots, and any two slots are dea
 BANDS, ROWS = 25, 5  # misses a pair at similarity 0.8 with probability 5e-5
 LEAST_AGREEMENT = 80  # of 127 slots; at similarity 0.8 fewer agree with probability 3e-6
 BLOCK_ROWS = 512  # members of one side of a comparison task
-REMEMBERED = 1_000_000  # words whose hashes a task remembers before it starts over
+REMEMBERED = 200_000  # words whose hashes a task remembers before it starts over
 LEVEL_BITS = np.uint64(56)
 
 
@@ -67,9 +67,9 @@ class ShingleSets:
         if len(self.memo) > REMEMBERED:
             self.memo = {}
         memo = self.memo
-        for word in {w for words in split for w in words} - memo.keys():
+        for word in set().union(*split).difference(memo):
             memo[word] = xxhash.xxh3_64_intdigest(word)
-        flat = np.array([memo[w] for words in split for w in words], np.uint64)
+        flat = np.array([h for words in split for h in map(memo.__getitem__, words)], np.uint64)
         ends = np.cumsum([len(w) for w in split])
         k = self.size
         whole = self._chain(flat, len(flat) - k + 1, k) if len(flat) >= k else np.empty(0, np.uint64)
