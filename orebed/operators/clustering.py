@@ -20,6 +20,7 @@ from orebed.operators.sampling import sample_exact
 from orebed.session import cut_lineage, release
 
 SILHOUETTE_BLOCK = 2_000  # rows on each side of one block of distances
+SILHOUETTE_TILE = 100  # rows compared with a block at once: their distances stay in the cache
 SILHOUETTE_GROUPS = 24  # groups that rows are dealt into: a row is sent this often to each side
 GROUP_ROWS = 1_000_000  # rows of a group, at most about; beyond that there are more groups
 
@@ -172,7 +173,7 @@ def _distance_sums(rows: DataFrame, names: list[str], key: str, groups: int) ->
     dealt = lambda side: side.repartition(groups * groups, "_g", "_h").groupBy("_g", "_h")
     left = dealt(rows.select(*held, own.alias("_g"), every.alias("_h")))
     right = dealt(rows.select(*held, own.alias("_h"), every.alias("_g")))
-    block = SILHOUETTE_BLOCK
+    block, tile = SILHOUETTE_BLOCK, SILHOUETTE_TILE
 
     def meet(mine: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         x, y = mine[names].to_numpy(dtype=float), held[names].to_numpy(dtype=float)
@@ -183,17 +184,17 @@ def _distance_sums(rows: DataFrame, names: list[str], key: str, groups: int) ->
         for low in range(0, len(y), block):
             part, kind = y[low : low + block], code[low : low + block]
             starts = np.flatnonzero(np.diff(kind, prepend=-1))
-            for top in range(0, len(x), block):
-                some = x[top : top + block]
+            for top in range(0, len(x), tile):
+                some = x[top : top + tile]
                 d2 = np.zeros((len(some), len(part)))
                 for j in range(x.shape[1]):
                     d = some[:, j : j + 1] - part[None, :, j]
                     d2 += np.multiply(d, d, out=d)
                 dist = np.sqrt(d2, out=d2)
                 if len(starts) == 1:
-                    sums[top : top + block, kind[0]] += dist.sum(axis=1)
+                    sums[top : top + tile, kind[0]] += dist.sum(axis=1)
                 else:
-                    sums[top : top + block, kind[starts]] += np.add.reduceat(dist, starts, axis=1)
+                    sums[top : top + tile, kind[starts]] += np.add.reduceat(dist, starts, axis=1)
         return pd.DataFrame({
             key: np.repeat(mine[key].to_numpy(), len(labels)), "other": np.tile(labels, len(x)), "total": sums.ravel()})
 

@@ -232,6 +232,7 @@ def test_quantiles_share_one_sketch_per_column(spark, monkeypatch):
 def test_silhouette_sends_rows_a_bounded_number_of_times(spark, monkeypatch):
     monkeypatch.setattr(K, "SILHOUETTE_BLOCK", 7)
     monkeypatch.setattr(K, "SILHOUETTE_GROUPS", 3)
+    monkeypatch.setattr(K, "SILHOUETTE_TILE", 5)
     asked = []
     plain = K._distance_sums
     monkeypatch.setattr(K, "_distance_sums", lambda rows, names, key, groups: asked.append(groups) or plain(rows, names, key, groups))
