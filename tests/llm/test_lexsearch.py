@@ -97,3 +97,33 @@ def test_pruning_skips_leaves(spark, monkeypatch):
     found = sorted((tuple(r) for r in lexsearch.search(d, b, report=report).collect()), key=str)
     assert found == brute(docs, items)
     assert 0 < report["scored_leaf_pairs"] < report["leaf_pairs"] / 2
+
+
+def test_scoring_shuffles_no_item_document_rows(spark):
+    """Postings meet the asking items by leaf, in slices and parts, and only each leaf's best come back."""
+    items = spark.createDataFrame([(1, 7, 3, 0), (1, 8, 1, 0), (2, 8, 5, 1), (3, 9, 4, 1)], "item_id long, term long, q long, iblock int")
+    pairs = spark.createDataFrame([(i, b, leaf) for i in (1, 2, 3) for b, leaf in ((0, 0), (0, 1))], "item_id long, bucket int, leaf int")
+    rows = [(0, d % 2, t, d, 10 * d + t) for d in range(8) for t in (7, 8)] + [(0, 1, 8, None, 3)]
+    postings = spark.createDataFrame(rows, "bucket int, leaf int, term long, doc_id long, c long")
+    found = lexsearch._leaf_scores(items, pairs, postings, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    dealt = [x.split(")")[0] for x in plan.split("hashpartitioning(")[1:]]
+    assert dealt and not any("doc_id" in x or "term" in x for x in dealt)
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (1, 4, 3 * 47 + 48), (1, 5, 3 * 57 + 58), (1, 6, 3 * 67 + 68), (1, 7, 3 * 77 + 78),
+        (2, 4, 5 * 48), (2, 5, 5 * 58), (2, 6, 5 * 68), (2, 7, 5 * 78)]
+
+
+def test_leaf_scores_stay_exact_beyond_doubles(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lexsearch, "TERM_SLICE", 1)
+    monkeypatch.setattr(lexsearch, "ITEM_SLICE", 1)
+    found = pa.table({"doc_id": pa.array([4, 4, None, None, 2], "int64"), "term": pa.array([1, 2, 1, 2, 9], "int64"),
+                      "c": pa.array([2**40 + 1, 1, 2**40 + 1, 1, 5], "int64")})
+    asked = pa.table({"item_id": pa.array([6, 7], "int64"), "terms": pa.array([[1, 2], [3]], pa.list_(pa.int64())),
+                      "qs": pa.array([[2**21 + 1, 1], [1]], pa.list_(pa.int64()))})
+    score = (2**40 + 1) * (2**21 + 1) + 1
+    assert lexsearch._leaf_best(found, asked, 10).to_pylist() == [
+        {"item_id": 6, "doc_id": None, "score": score}, {"item_id": 6, "doc_id": 4, "score": score}]
