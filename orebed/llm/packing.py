@@ -32,6 +32,9 @@ END_ID = 2
 PIECES = "doc_id {id}, piece int, start long, length long, ids binary"
 #: Text units whose ids a worker remembers; beyond that it keeps those met again.
 REMEMBERED = 600_000
+#: Texts and characters encoded in one round.
+ROUND_ROWS = 2048
+ROUND_CHARS = 5_000_000
 #: Pieces that one numbering group holds on average.
 GROUP_ROWS = 20_000
 
@@ -78,15 +81,18 @@ class UnitEncoder:
             self.memo = {x: self.memo[x] for x in self.again} if 2 * len(self.again) < REMEMBERED else {}
             self.again = set()
         units = [t.split(" ") for t in texts]
-        seen = {x for u in units for x in u[1:]}
-        new = seen - self.memo.keys()
-        self.again |= seen - new
-        wide = {x for x in new if not x or x[0].isspace() or x[-1].isspace()}
-        self._learn(sorted(new - wide))
-        whole = {k for k, u in enumerate(units) if len(u) > 1 and (u[0][-1:].isspace() or not u[0] or wide and not wide.isdisjoint(u[1:]))}
-        first = self._encode([texts[k] if k in whole else u[0] for k, u in enumerate(units)])
+        starts = [u.pop(0) for u in units]
         memo = self.memo
-        return [first[k] if k in whole else first[k] + b"".join([memo[x] for x in u[1:]]) for k, u in enumerate(units)]
+        seen = set().union(*units)
+        new = seen - memo.keys()
+        seen -= new
+        self.again |= seen
+        wide = {x for x in new if not x or x[0].isspace() or x[-1].isspace()}
+        self._learn(list(new - wide if wide else new))
+        whole = {k for k, u in enumerate(units) if u and (starts[k][-1:].isspace() or not starts[k] or wide and not wide.isdisjoint(u))}
+        first = self._encode([texts[k] if k in whole else x for k, x in enumerate(starts)])
+        known = memo.__getitem__
+        return [first[k] if k in whole else b"".join([first[k], *map(known, u)]) for k, u in enumerate(units)]
 
 
 _ENCODERS: dict[str, UnitEncoder] = {}
@@ -99,6 +105,19 @@ def encoder(path: str) -> UnitEncoder:
     return _ENCODERS[path]
 
 
+def encoding_rounds(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows encoded together: units shared by many texts are looked up once, while long texts stay few."""
+    low, held = 0, 0
+    for k, text in enumerate(batch["text"]):
+        size = len(text or "")
+        if k > low and (held + size > ROUND_CHARS or k - low == ROUND_ROWS):
+            yield batch.iloc[low:k]
+            low, held = k, 0
+        held += size
+    if low < len(batch):
+        yield batch.iloc[low:]
+
+
 def token_pieces(
     docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
     id_col: str = "doc_id", text_col: str = "text",
@@ -115,8 +134,7 @@ def token_pieces(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(path)
         for batch in batches:
-            for low in range(0, len(batch), 512):
-                part = batch.iloc[low : low + 512]
+            for part in encoding_rounds(batch):
                 made = []
                 for doc, ids in zip(part["doc_id"], encode([t or "" for t in part["text"]]), strict=True):
                     ids += end

@@ -95,3 +95,19 @@ def test_numbering_splits_hot_lengths(spark):
 def test_empty_table(spark):
     pieces = packing.token_pieces(docs(spark, []), tokenizer_path())
     assert packing.pack(pieces).count() == 0
+
+
+def test_encoding_rounds_share_units_and_bound_long_texts(monkeypatch):
+    """Short texts go together by the thousand, long ones alone; no row is lost and ids stay the tokenizer's."""
+    import pandas as pd
+
+    batch = pd.DataFrame({"doc_id": range(3000), "text": ["ab cd"] * 2998 + [None, ""]})
+    assert [len(x) for x in packing.encoding_rounds(batch)] == [2048, 952]
+    monkeypatch.setattr(packing, "ROUND_CHARS", 10)
+    batch = pd.DataFrame({"doc_id": range(5), "text": ["x" * 30, "ab", "cd", "y" * 9, None]})
+    assert [list(x["doc_id"]) for x in packing.encoding_rounds(batch)] == [[0], [1, 2], [3, 4]]
+    assert list(packing.encoding_rounds(batch.iloc[:0])) == []
+    encode = packing.UnitEncoder(tokenizer_path())
+    texts = odd_texts()
+    expected = [np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encode(texts) == expected and encode(texts[::-1]) == expected[::-1]
