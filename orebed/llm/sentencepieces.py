@@ -39,6 +39,13 @@ _NEVER = float("-inf")
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
+def _stretches(text: str) -> list[str]:
+    """Stretches of ``text``, each without the word mark it begins with."""
+    if text[0] == " " or "  " in text or MARK in text:
+        return [x[1:] for x in _STRETCH.findall(MARK + text.replace(" ", MARK))]
+    return text.split(" ")
+
+
 class PieceModel:
     """Pieces and scores of a model file, with streaming encoding and decoding."""
 
@@ -63,14 +70,23 @@ class PieceModel:
         self.again: set[str] = set()
 
     @cached_property
-    def tree(self) -> dict:
-        """Pieces by their characters: a node leads to longer pieces, and under None to the score of its own."""
+    def tree(self) -> dict[str, tuple]:
+        """Pieces by their characters: each leads to the score of the piece that ends there, if any, and to longer ones."""
         tree: dict = {}
-        for piece, (_, gain) in self.pieces.items():
-            node = tree
-            for char in piece:
-                node = node.setdefault(char, {})
-            node[None] = gain
+        gains = {piece: gain for piece, (_, gain) in self.pieces.items()}
+        leaf: dict = {}
+        branches = {"": tree}
+        for piece in sorted(self.pieces, key=len, reverse=True):  # the longest first, so that inner nodes are known
+            for size in range(len(piece) - 1, 0, -1):
+                if piece[:size] in branches:
+                    break
+                branches[piece[:size]] = {}
+        for prefix in sorted(branches.keys() | gains.keys(), key=len, reverse=True):
+            if prefix:
+                step = (gains.get(prefix), branches.get(prefix, leaf))
+                branches[prefix[:-1]][prefix[-1]] = step
+        for char, (gain, branch) in tree.items():  # one character can always be taken
+            tree[char] = (self.unknown_score if gain is None else gain, branch)
         return tree
 
     def _ids(self, piece: str) -> list[int]:
@@ -82,27 +98,27 @@ class PieceModel:
 
     def stream(self, text: str) -> Iterator[list[int]]:
         """Ids of ``text``, committed stretch by stretch."""
-        n, tree, unknown = len(text), self.tree, self.unknown_score
+        n, tree, longest, alone = len(text), self.tree, self.longest, (self.unknown_score, None)
         score = {0: 0.0}  # of the best path to each boundary in the window
+        best = score.get
         back: dict[int, int] = {}  # start of that path's last piece, for boundaries not committed
-        done, check = 0, self.longest
+        done, check = 0, longest
         at = 0
         while at < n:
             here = score.pop(at)
-            node, end = tree.get(text[at]), at + 1
-            gain = unknown if node is None else node.get(None, unknown)
-            while True:
-                if gain is not None:
-                    total = here + gain
-                    if total > score.get(end, _NEVER):
-                        score[end], back[end] = total, at
-                if node is None or end == n:
-                    break
-                node = node.get(text[end])
-                if node is None:
-                    break
-                end += 1
-                gain = node.get(None)
+            gain, branch = tree.get(text[at], alone)
+            end = at + 1
+            if here + gain > best(end, _NEVER):
+                score[end], back[end] = here + gain, at
+            if branch:
+                for char in text[end : at + longest]:
+                    step = branch.get(char)
+                    if step is None:
+                        break
+                    end += 1
+                    gain, branch = step
+                    if gain is not None and here + gain > best(end, _NEVER):
+                        score[end], back[end] = here + gain, at
             at += 1
             if at >= check:
                 boundary = self._converged(score, back, done)
@@ -111,7 +127,7 @@ class PieceModel:
                     done = boundary
                     for b in [b for b in back if b <= done]:
                         del back[b]
-                check = at + self.longest
+                check = at + longest
         if n > done:
             yield self._walk(text, back, done, n)
 
@@ -147,24 +163,24 @@ class PieceModel:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
         if not self.splits:
-            return [self._search(m) for m in marked]
-        parts = [_STRETCH.findall(m) for m in marked]
+            return [self._search(MARK + t.replace(" ", MARK)) if t else b"" for t in texts]
+        parts = [_stretches(t) if t else [] for t in texts]
         if len(self.memo) > REMEMBERED:
             self.memo = {x: self.memo[x] for x in self.again} if 2 * len(self.again) < REMEMBERED else {}
             self.again = set()
-        seen = {x for p in parts for x in p}
-        new = seen - self.memo.keys()
-        self.again |= seen - new
         memo = self.memo
+        seen = set().union(*parts)
+        new = seen - memo.keys()
+        seen -= new
+        self.again |= seen
         for stretch in new:
-            memo[stretch] = self._search(stretch)
-        return [b"".join([memo[x] for x in p]) for p in parts]
+            memo[stretch] = self._search(MARK + stretch)
+        return [b"".join(map(memo.__getitem__, p)) for p in parts]
 
     def decode(self, ids: np.ndarray) -> str:
         surface = self.surface
-        text = b"".join([surface[i] for i in ids.tolist()]).decode("utf-8", "replace")
+        text = b"".join(map(surface.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text.removeprefix(" ")
 
 

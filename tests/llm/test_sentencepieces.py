@@ -78,3 +78,14 @@ def test_round_trip(spark):
     assert sp.encode(docs(spark, []), PATH).count() == 0
     nothing = spark.range(1).select(F.lit(None).cast("array<int>").alias("ids"))
     assert nothing.select(sp.decoded(F.col("ids"), PATH).alias("t")).first()["t"] == ""
+
+
+def test_stretches_of_plain_texts_need_no_pattern(model, monkeypatch):
+    """A split at spaces gives the stretches that the pattern finds; other texts still go through the pattern."""
+    for text in texts() + ["a b ", " a", "a  b", "a▁b", "▁", "  ", "a"]:
+        if text:
+            marked = sp.MARK + text.replace(" ", sp.MARK)
+            assert [sp.MARK + x for x in sp._stretches(text)] == sp._STRETCH.findall(marked)
+    monkeypatch.setattr(sp, "_STRETCH", None)
+    found = np.frombuffer(model.encode(["the plain text "])[0], "<u4").tolist()
+    assert found == best(model, "▁the▁plain▁text▁")
