@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +14,10 @@ from orebed.session import cut_lineage
 #: One word, and what separates words: ASCII white space only.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
+#: Letters that are letters in every Unicode version, and signs; apostrophes are left out, since contractions begin with them.
+LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ſ", r"!-&(-/:-@\[-`{-~"
+#: A word and its signs, and those of one following line.
+RUNS = re.compile(f"([{LETTERS}]+)([{SIGNS}]*)(?:\n([{LETTERS}]+)([{SIGNS}]*))?")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,27 +16,31 @@ more than the capacity or of no length are refused.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orebed.llm.common import cut, keyed
+from orebed.llm.common import LETTERS, RUNS, SIGNS, cut, keyed
 
 CAPACITY = 1024
 END_ID = 2
 PIECES = "doc_id {id}, piece int, start long, length long, ids binary"
 #: Text units whose ids a worker remembers; beyond that it keeps those met again.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Texts and characters encoded in one round.
 ROUND_ROWS = 2048
-ROUND_CHARS = 5_000_000
+ROUND_CHARS = 2_000_000
 #: Pieces that one numbering group holds on average.
 GROUP_ROWS = 20_000
+_PART_OF_RUNS = re.compile(f"[{LETTERS}]*[{SIGNS}]*(?:\n[{LETTERS}]*[{SIGNS}]*)?")
 
 
 class UnitEncoder:
@@ -46,11 +50,13 @@ class UnitEncoder:
     with what lies after it, so the ids of a text are those of its units, each
     with its leading space. Texts with wider gaps are encoded as one. Units not
     seen before are encoded as one joined text; its ids are dealt back by the
-    bytes that each id stands for.
+    bytes that each id stands for. Units of words, signs and a line break are
+    known to be cut there, so each of their runs is encoded once, by the same
+    model without the search for cuts.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
@@ -58,41 +64,125 @@ class UnitEncoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, "int64")
         for token, at in vocabulary.items():  # one character stands for one byte, but in added tokens
             self.bytes_of[at] = len(token.encode()) if token in special else len(token)
+        self.cuts = not any(_PART_OF_RUNS.fullmatch(x) for x in special)  # no added token lies in such a unit
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.shown = str.maketrans({c: shown(c)[0][0] for c in map(chr, range(32, 384))})  # the model's signs for bytes
+        self.runs_tokenizer = Tokenizer(self.tokenizer.model)
+        self.runs_tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
         self.memo: dict[str, bytes] = {}
         self.again: set[str] = set()  # units met in more than one batch
+        self.runs: dict[str, bytes] = {}  # runs met without a space before them
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, units: list[str]) -> None:
-        for low in range(0, len(units), 4096):
-            part = units[low : low + 4096]
-            ids = self._encode([" " + " ".join(part)])[0]
-            starts = np.cumsum(self.bytes_of[np.frombuffer(ids, "<u4")])
-            ends = np.searchsorted(starts, np.cumsum([1 + len(x.encode()) for x in part])) + 1
-            at = 0
-            for unit, end in zip(part, (4 * ends).tolist(), strict=True):
-                self.memo[unit] = ids[at:end]
-                at = end
+    def _dealt(self, parts: list[str], before: str) -> Iterator[tuple[str, bytes]]:
+        """Each unit or run with its ids behind ``before``, from one joined text."""
+        for low in range(0, len(parts), 512):
+            some = parts[low : low + 512]
+            yield from self._cut(self._encode([before + before.join(some)])[0], some, len(before))
+
+    def _dealt_runs(self, runs: list[str], before: str) -> Iterator[tuple[str, bytes]]:
+        for low in range(0, len(runs), 512):
+            some = runs[low : low + 512]
+            joined = "\n".join([before + x for x in some]).translate(self.shown)
+            found = self.runs_tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids
+            yield from self._cut(np.array(found, "<u4").tobytes(), some, len(before))
+
+    def _cut(self, ids: bytes, parts: list[str], before: int) -> Iterator[tuple[str, bytes]]:
+        reached = np.cumsum(self.bytes_of[np.frombuffer(ids, "<u4")])
+        ends = np.searchsorted(reached, np.cumsum([before + len(x.encode()) for x in parts])) + 1
+        at = 0
+        for part, end in zip(parts, (4 * ends).tolist(), strict=True):
+            yield part, ids[at:end]
+            at = end
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def _learn(self, units: list[str]) -> None:
+        """Remember the ids of ``units``, each behind a space."""
+        memo, runs = self.memo, self.runs
+        if len(runs) > REMEMBERED or not runs:
+            runs.clear()
+            runs.update({"": b"", "\n": self._encode(["\n"])[0]})
+        rest, words, later, cut = [], set(), set(), []
+        for unit in units:
+            found = RUNS.fullmatch(unit) if self.cuts else None
+            if found is None:
+                rest.append(unit)
+                continue
+            word, signs, line, more = found.groups("")
+            words.add(word)
+            if signs or line:
+                cut.append((unit, word, signs, line, more))
+                later.update((signs, line, more))
+        memo.update(self._dealt(rest, " "))
+        memo.update(self._dealt_runs(list(words - memo.keys()), " "))
+        runs.update(self._dealt_runs(list(later - runs.keys()), ""))
+        for unit, word, signs, line, more in cut:
+            ids = memo[word] + runs[signs]
+            memo[unit] = b"".join((ids, runs["\n"], runs[line], runs[more])) if line else ids
+
+    def _known(self, units: list[str]) -> tuple[list[bytes], list[int]]:
+        """The ids of different units, and the places of those that belong to wider gaps and are not looked up."""
         if len(self.memo) > REMEMBERED:
             self.memo = {x: self.memo[x] for x in self.again} if 2 * len(self.again) < REMEMBERED else {}
             self.again = set()
-        units = [t.split(" ") for t in texts]
-        starts = [u.pop(0) for u in units]
         memo = self.memo
-        seen = set().union(*units)
-        new = seen - memo.keys()
-        seen -= new
-        self.again |= seen
-        wide = {x for x in new if not x or x[0].isspace() or x[-1].isspace()}
-        self._learn(list(new - wide if wide else new))
-        whole = {k for k, u in enumerate(units) if u and (starts[k][-1:].isspace() or not starts[k] or wide and not wide.isdisjoint(u))}
-        first = self._encode([texts[k] if k in whole else x for k, x in enumerate(starts)])
-        known = memo.__getitem__
-        return [first[k] if k in whole else b"".join([first[k], *map(known, u)]) for k, u in enumerate(units)]
+        found = list(map(memo.get, units))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        self.again.update(units)
+        self.again.difference_update([units[k] for k in new])
+        wide = [k for k in new if not (x := units[k]) or x[0].isspace() or x[-1].isspace()]
+        if wide:
+            new = sorted(set(new).difference(wide))
+        self._learn([units[k] for k in new])
+        for k in new:
+            found[k] = memo[units[k]]
+        for k in wide:
+            found[k] = b""
+        return found, wide
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts behind each other, and the number of each text's ids."""
+        if not texts:
+            return np.zeros(0, "<u4"), np.zeros(0, "int64")
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        starts = split.offsets.to_numpy()[:-1]
+        coded = split.values.dictionary_encode()
+        at = coded.indices.to_numpy().astype("int64")
+        later = np.ones(len(at), bool)
+        later[starts] = False
+        asked = np.flatnonzero(np.bincount(at[later], minlength=len(coded.dictionary)))
+        place = np.zeros(len(coded.dictionary), "int64")
+        place[asked] = np.arange(len(asked))
+        found, wide = self._known(coded.dictionary.take(pa.array(asked)).to_numpy(zero_copy_only=False).tolist())
+        at = place[at]
+        gaps = np.zeros(len(found) + 1, bool)
+        gaps[wide] = True
+        whole = np.logical_or.reduceat(gaps[at] & later, starts)
+        several = np.diff(np.append(starts, len(at))) > 1
+        first = []
+        for k, text in enumerate(texts):
+            start = text.split(" ", 1)[0]
+            if several[k] and (whole[k] or not start or start[-1].isspace()):
+                whole[k], start = True, text
+            first.append(start)
+        at[starts] = len(found) + np.arange(len(texts))
+        found += self._encode(first)
+        sizes = np.fromiter(map(len, found), "int64", len(found)) // 4
+        before = np.cumsum(sizes) - sizes
+        size = sizes[at]
+        if whole.any():
+            size[np.repeat(whole, np.diff(np.append(starts, len(at)))) & later] = 0
+        ends = np.cumsum(size)
+        taken = np.arange(ends[-1]) + np.repeat(before[at] - ends + size, size)
+        return np.frombuffer(b"".join(found), "<u4")[taken], np.add.reduceat(size, starts)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        ids, sizes = self.flat(texts)
+        ends = (4 * np.cumsum(sizes)).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
 _ENCODERS: dict[str, UnitEncoder] = {}
@@ -129,26 +219,35 @@ def token_pieces(
     """
     rows = keyed(docs, id_col, text_col)
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString())
-    end = np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
-            for part in encoding_rounds(batch):
-                made = []
-                for doc, ids in zip(part["doc_id"], encode([t or "" for t in part["text"]]), strict=True):
-                    ids += end
-                    size = len(ids) // 4
-                    at, piece = 0, 0
-                    while at < size:
-                        n = min((size - at) % capacity or capacity, size - at)
-                        made.append((doc, piece, at, n, ids[4 * at : 4 * (at + n)]))
-                        at, piece = at + n, piece + 1
-                out = pd.DataFrame(made, columns=["doc_id", "piece", "start", "length", "ids"])
-                out["doc_id"] = out["doc_id"].astype(part["doc_id"].dtype)
-                yield out
-
-    return rows.mapInPandas(run, schema)
+            for low in range(0, batch.num_rows, ROUND_ROWS):
+                some = batch.slice(low, ROUND_ROWS)
+                docs_, at = some.column("doc_id"), 0
+                for part in encoding_rounds(pd.DataFrame({"text": some.column("text").to_numpy(zero_copy_only=False)})):
+                    ids, sizes = encode.flat([t or "" for t in part["text"]])
+                    yield _pieces(docs_.slice(at, len(part)), np.insert(ids, np.cumsum(sizes), end_id), sizes + 1, capacity)
+                    at += len(part)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _pieces(docs: pa.Array, ids: np.ndarray, sizes: np.ndarray, capacity: int) -> pa.RecordBatch:
+    """The pieces of documents of ``sizes`` ids each; every document has at least one."""
+    number = -(-sizes // capacity)
+    doc = np.repeat(np.arange(len(sizes)), number)
+    piece = np.arange(len(doc)) - (np.cumsum(number) - number)[doc]
+    first = (sizes - 1) % capacity + 1
+    start = np.where(piece == 0, 0, first[doc] + (piece - 1) * capacity)
+    length = np.where(piece == 0, first[doc], capacity)
+    data = ids.astype("<u4").tobytes()
+    ends = (4 * np.cumsum(length)).tolist()
+    return pa.RecordBatch.from_arrays(
+        [docs.take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length),
+         pa.array([data[a:b] for a, b in zip([0, *ends], ends)], pa.binary())],
+        ["doc_id", "piece", "start", "length", "ids"])
 
 
 def plan_slots(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

@@ -111,3 +111,26 @@ def test_encoding_rounds_share_units_and_bound_long_texts(monkeypatch):
     texts = odd_texts()
     expected = [np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert encode(texts) == expected and encode(texts[::-1]) == expected[::-1]
+
+
+def test_runs_of_new_units_are_encoded_once(monkeypatch):
+    """Words, signs and single line breaks are cut apart before they are encoded; the ids stay the tokenizer's."""
+    encode = packing.UnitEncoder(tokenizer_path())
+    texts = ["Ab qwzx.\nQwzx, qwzx! größe,\nübung.", "x don't a's foo.'s bar.\n\nx y.\n z 12,3 a²b ab\n1 <|endoftext|> a<|endoftext|>.\nb", "a", "", " a", "a "]
+    want = [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    asked = []
+    runs = encode._dealt_runs
+    monkeypatch.setattr(encode, "_dealt_runs", lambda parts, before: runs(asked.extend((before, x) for x in parts) or parts, before))
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == want
+    assert len(asked) == len(set(asked)) and {(" ", "qwzx"), ("", "Qwzx"), (" ", "größe"), ("", "übung")} <= set(asked)
+    assert not {x for _, x in asked} & {"qwzx.\nQwzx,", "qwzx!", "größe,\nübung."}
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts[::-1])] == want[::-1]
+    ids, sizes = encode.flat(texts)
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(x) for x in want]
+
+
+def test_large_ids_beside_null_ids(spark):
+    """A null id beside an id above 2^53 leaves that id as it is."""
+    big = 2**60 + 1
+    rows = packing.token_pieces(docs(spark, ["a b", "c"], [big, None]), tokenizer_path()).collect()
+    assert {r["doc_id"] for r in rows} == {big, None}
