@@ -10,7 +10,10 @@ the unknown id.
 
 Where no piece of the model holds a word mark behind another character, every
 place before a word mark is such a boundary by construction; the stretches
-between are searched once per worker and remembered.
+between are searched once per worker and remembered. Where no piece joins
+letters, signs and line breaks, the places between these are boundaries too, and
+a new stretch is put together from its runs. New runs are searched together,
+position by position, with the same scores and the same choice among equals.
 
 Defined results: null and empty texts have no ids; a word mark that stands in
 the text itself decodes to a space, as in the library; null ids decode to an
@@ -31,12 +34,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from orebed.llm.common import LETTERS, RUNS, SIGNS
+
 MARK = "▁"  # the library's sign for a space
 UNKNOWN_PENALTY = 10.0
 #: Stretches whose ids a worker remembers; beyond that it keeps those met again.
 REMEMBERED = 350_000
 _NEVER = float("-inf")
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+_JOINED = re.compile(f"[{LETTERS}][{SIGNS}\n]|[{SIGNS}]\n|\n[{LETTERS}]")  # places between the runs of a stretch
+#: Characters that are searched together, and the longest run among them.
+TOGETHER, LONGEST_RUN = 65_536, 64
 
 
 def _stretches(text: str) -> list[str]:
@@ -66,8 +74,13 @@ class PieceModel:
         for value, i in self.byte_ids.items():
             self.surface[i] = bytes([value])
         self.surface[self.unknown] = " ⁇ ".encode()  # as the library shows it
+        self.shown = np.frombuffer(b"".join(self.surface), "uint8")
+        self.shown_size = np.array([len(x) for x in self.surface], "int64")
+        self.shown_at = np.cumsum(self.shown_size) - self.shown_size
+        self.cuts = not any(_JOINED.search(p) for p in self.pieces)
         self.memo: dict[str, bytes] = {}
         self.again: set[str] = set()
+        self.runs: dict[str, bytes] = {}  # runs met without a word mark before them
 
     @cached_property
     def tree(self) -> dict[str, tuple]:
@@ -161,6 +174,118 @@ class PieceModel:
         ids = [i for part in self.stream(stretch) for i in part]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    @cached_property
+    def steps(self) -> tuple[np.ndarray, ...]:
+        """The tree as arrays: the number of each character, sorted (node, character) keys and the nodes they lead to, and of each node its piece or -1 and its score."""
+        numbers = np.zeros(0x110000, "uint16")
+        chars = sorted(set().union(*self.pieces))
+        numbers[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        prefixes = sorted({p[:k] for p in self.pieces for k in range(1, len(p) + 1)}, key=len)
+        at = {"": 0} | {p: k for k, p in enumerate(prefixes, 1)}
+        keys = np.array([at[p[:-1]] * (len(chars) + 1) + int(numbers[ord(p[-1])]) for p in prefixes], "int64")
+        ends = [self.pieces.get(p, (-1, _NEVER)) for p in ["", *prefixes]]
+        order = np.argsort(keys)
+        return (numbers, keys[order], order + 1, np.array([i for i, _ in ends], "int64"), np.array([s for _, s in ends]))
+
+    def _search_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each of many short texts; longer ones, and those with characters without a piece, are searched alone."""
+        out: list[bytes] = [b""] * len(texts)
+        order = sorted(range(len(texts)), key=lambda k: len(texts[k]))
+        low = 0
+        while low < len(order):
+            longest = len(texts[order[low]])
+            if longest > LONGEST_RUN:
+                break
+            high = low + max(1, TOGETHER // max(longest, 1))
+            some = order[low:high]
+            longest = len(texts[some[-1]])
+            if longest > LONGEST_RUN:
+                some = [k for k in some if len(texts[k]) <= LONGEST_RUN]
+                longest = len(texts[some[-1]])
+            for k, ids in zip(some, self._search_block([texts[k] for k in some], longest), strict=True):
+                out[k] = self._search(texts[k]) if ids is None else ids
+            low += len(some)
+        for k in order[low:]:
+            out[k] = self._search(texts[k])
+        return out
+
+    def _search_block(self, texts: list[str], n: int) -> list[bytes | None]:
+        """Ids of texts of up to ``n`` characters, None for those with a character without a piece."""
+        if not n:
+            return [b""] * len(texts)
+        numbers, keys, nodes, piece_of, score_of = self.steps
+        points = np.frombuffer("".join([t.ljust(n, "\0") for t in texts]).encode("utf-32-le", "surrogatepass"), "<u4")
+        chars = numbers[points.reshape(-1, n).T].astype("int64")  # one row per place, one column per text
+        sizes = np.fromiter(map(len, texts), "int64", len(texts))
+        inside = np.arange(n)[:, None] < sizes
+        chars[~inside] = 0
+        width, base = len(texts), int(numbers.max()) + 1
+        flat = chars.ravel()
+        at, node = np.flatnonzero(flat), np.zeros(np.count_nonzero(flat), "int64")
+        gains, pieces = [], []
+        for depth in range(min(self.longest, n)):  # all pieces that begin at each place, one character longer each time
+            key = node * base + flat[at + depth * width]
+            found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[found] == key
+            at, node = at[hit], nodes[found[hit]]
+            if not len(at):
+                break
+            gain, piece = np.full(n * width, _NEVER), np.full(n * width, -1, "int32")
+            gain[at], piece[at] = score_of[node], piece_of[node]
+            gains.append(gain.reshape(n, width))
+            pieces.append(piece.reshape(n, width))
+            going = at < (n - depth - 1) * width
+            at, node = at[going], node[going]
+        if not gains:
+            return [None if t else b"" for t in texts]
+        alone = ((pieces[0] >= 0) | ~inside).all(axis=0)
+        score, back = np.full((n + 1, width), _NEVER), np.zeros((n + 1, width), "int64")
+        score[0] = 0.0
+        for place in range(n):
+            for depth, gain in enumerate(gains[: n - place], 1):
+                total = score[place] + gain[place]
+                better = total > score[place + depth]
+                np.copyto(score[place + depth], total, where=better)
+                np.copyto(back[place + depth], depth, where=better)
+        taken, end, texts_ = [], np.where(alone, sizes, 0), np.arange(width)
+        deep = np.stack(pieces)
+        while end.any():
+            depth = back[end, texts_]
+            start = end - depth
+            taken.append(np.where(depth > 0, deep[depth - 1, np.minimum(start, n - 1), texts_], -1))
+            end = start
+        if not taken:
+            return [b"" if ok else None for ok in alone]
+        ids = np.stack(taken[::-1], axis=1)
+        real = ids >= 0
+        data, ends = ids[real].astype("<u4").tobytes(), (4 * np.cumsum(real.sum(axis=1))).tolist()
+        return [data[a:b] if ok else None for a, b, ok in zip([0, *ends], ends, alone.tolist())]
+
+    def _learn(self, stretches: set[str]) -> None:
+        """Remember the ids of ``stretches``, each behind a word mark."""
+        memo, runs = self.memo, self.runs
+        if len(runs) > REMEMBERED or not runs:
+            runs.clear()
+            runs.update({"": b"", "\n": self._search("\n")})
+        words, later, cut = set(), set(), []
+        for stretch in stretches:
+            found = RUNS.fullmatch(stretch) if self.cuts else None
+            if found is None:
+                words.add(stretch)
+                continue
+            word, signs, line, more = found.groups("")
+            words.add(word)
+            if signs or line:
+                cut.append((stretch, word, signs, line, more))
+                later.update((signs, line, more))
+        words = list(words - memo.keys())
+        memo.update(zip(words, self._search_all([MARK + x for x in words])))
+        later = list(later - runs.keys())
+        runs.update(zip(later, self._search_all(later)))
+        for stretch, word, signs, line, more in cut:
+            ids = memo[word] + runs[signs]
+            memo[stretch] = b"".join((ids, runs["\n"], runs[line], runs[more])) if line else ids
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if not self.splits:
@@ -174,14 +299,14 @@ class PieceModel:
         new = seen - memo.keys()
         seen -= new
         self.again |= seen
-        for stretch in new:
-            memo[stretch] = self._search(MARK + stretch)
+        self._learn(new)
         return [b"".join(map(memo.__getitem__, p)) for p in parts]
 
     def decode(self, ids: np.ndarray) -> str:
-        surface = self.surface
-        text = b"".join(map(surface.__getitem__, ids.tolist())).decode("utf-8", "replace")
-        return text.removeprefix(" ")
+        sizes = self.shown_size[ids]
+        ends = np.cumsum(sizes)
+        taken = np.repeat(self.shown_at[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.shown[taken].tobytes().decode("utf-8", "replace").removeprefix(" ")
 
 
 _MODELS: dict[str, PieceModel] = {}

@@ -89,3 +89,28 @@ def test_stretches_of_plain_texts_need_no_pattern(model, monkeypatch):
     monkeypatch.setattr(sp, "_STRETCH", None)
     found = np.frombuffer(model.encode(["the plain text "])[0], "<u4").tolist()
     assert found == best(model, "▁the▁plain▁text▁")
+
+
+def test_runs_are_searched_together(model, monkeypatch):
+    """A round's new runs go through one search over arrays, which agrees with the whole-text tables; odd ones are searched alone."""
+    rng = random.Random(5)
+    syllables = ["the", "ing", "on", "a", "re", "t", "ü", "ß", "est", "Q", "x" * 20]
+    words = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 9))) for _ in range(300)] + ["1", "中文", "é", "a\0b", "don't"]
+    given = [w + rng.choice(["", ".", ",", ".\nThe", "!?\n" + rng.choice(words) + "."]) for w in words]
+    text = " ".join(given)
+    alone = []
+    search = model._search
+    monkeypatch.setattr(model, "memo", {})
+    monkeypatch.setattr(model, "runs", {})
+    monkeypatch.setattr(model, "_search", lambda t: alone.append(t) or search(t))
+    assert np.frombuffer(model.encode([text])[0], "<u4").tolist() == best(model, sp.MARK + text.replace(" ", sp.MARK))
+    assert not {sp.MARK + w for w in words[:300] if len(w) < sp.LONGEST_RUN} & set(alone)
+    assert model._search_all(words) == [search(w) for w in words]
+    assert model._search_all([]) == [] and model._search_all([""]) == [b""]
+
+
+def test_decoding_takes_all_pieces(model):
+    """One look-up over arrays gives the bytes of every kind of piece."""
+    ids = np.arange(len(model.surface))
+    assert model.decode(ids) == b"".join(model.surface).decode("utf-8", "replace").removeprefix(" ")
+    assert model.decode(np.zeros(0, "int64")) == ""
