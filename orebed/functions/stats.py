@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +35,17 @@ def pairs_of(n: Column) -> Column:
     return n * (n - 1) / 2.0
 
 
+def digamma_values(x: np.ndarray) -> np.ndarray:
+    """Digamma of numbers >= 1 in a task, as ``columns.digamma`` computes it."""
+    x = np.asarray(x, dtype=float)
+    z = x + 8.0
+    inv2 = 1.0 / (z * z)
+    out = np.log(z) - 0.5 / z - inv2 * (1.0 / 12 - inv2 * (1.0 / 120 - inv2 * (1.0 / 252 - inv2 / 240.0)))
+    for i in range(8):
+        out -= 1.0 / (x + i)
+    return out
+
+
 def gamma_p(a: float, x: float) -> float:
     """Regularised lower incomplete gamma function."""
     if x <= 0:

@@ -56,9 +56,9 @@ def pca_reduce(df: DataFrame, cols: Sequence[str], variance: float = 0.90, key:
     return pca_scores(df, fit, fit.count_for(variance), key), fit
 
 
-def project_2d(df: DataFrame, cols: Sequence[str], key: str = "row_id") -> DataFrame:
-    """First two component scores of all rows, the input of density clustering."""
-    return pca_scores(df, pca_fit(df, cols), 2, key, ["x", "y"])
+def project_2d(df: DataFrame, cols: Sequence[str], key: str = "row_id", fit: Components | None = None) -> DataFrame:
+    """First two component scores of all rows, the input of density clustering; ``fit`` where it is known."""
+    return pca_scores(df, fit or pca_fit(df, cols), 2, key, ["x", "y"])
 
 
 def variance_ratios(df: DataFrame, fit: Components) -> DataFrame:

@@ -102,7 +102,7 @@ def prepare(raw: DataFrame, cfg: MiningConfig, key: str = "row_id") -> dict:
     return {
         "cleaned": tables["transformed"].select(key, *final),
         "original": tables["original"].select(key, *final),
-        "scaled": scaled, "pca": scores, "plane": project_2d(scaled, final, key),
+        "scaled": scaled, "pca": scores, "plane": project_2d(scaled, final, key, fit),
         "basket": tables["basket"], "label": label, "mi": mi, "components": fit, "features": final,
     }
 

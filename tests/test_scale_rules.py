@@ -279,3 +279,27 @@ def test_walkable_tree_gives_the_paths_of_its_nodes():
         for _ in range(levels):
             at = left[at] + int(row[feature[at]] > cut[at])
         assert path[at] == tree["path"][node]
+
+
+def test_neighbour_slices_travel_as_arrays(spark, monkeypatch):
+    df = spark.range(4000).selectExpr(
+        "id AS row_id", "IF(id % 2 = 0, IF(id % 4 = 0, 0.0D, -0.0D), 1.0D) AS y", "double(id * 37 % 4001) AS x", "double(id % 9) AS z")
+    whole = {r["feature"]: r["mi"] for r in S.mutual_info_knn(df, ["x", "z"], "y", slices=1).collect()}
+    written = []
+    cut = S.cut_lineage
+    monkeypatch.setattr(S, "cut_lineage", lambda t: written.append(cut(t)) or written[-1])
+    monkeypatch.setattr(S, "HELD_VALUES", 1)
+    found = {r["feature"]: r["mi"] for r in S.mutual_info_knn(df.repartition(3), ["x", "z"], "y", slices=8).collect()}
+    assert found.keys() == whole.keys() and all(math.isclose(found[f], whole[f], rel_tol=1e-9, abs_tol=1e-12) for f in whole)
+    # 8,000 points: arrays of a slice, and the few points whose radius leaves it
+    assert written and all(t.count() < 400 for t in written)
+
+
+def test_plane_from_fitted_components(spark, monkeypatch):
+    from orebed.operators import reduction as D
+
+    df = spark.range(50).selectExpr("id AS row_id", "double(id) AS a", "double(id * id % 7) AS b", "double(id % 3) AS c")
+    fit = D.pca_fit(df, ["a", "b", "c"])
+    want = D.project_2d(df, ["a", "b", "c"]).collect()
+    monkeypatch.setattr(D, "covariance", None)  # the fit is not made again
+    assert D.project_2d(df, ["a", "b", "c"], fit=fit).collect() == want
