@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from orebed.functions.columns import number, quoted, squared_distance_sql
 from orebed.functions.stats import pairs_of
+from orebed.operators.distances import cluster_distances
 from orebed.operators.ranking import winner_by
 from orebed.operators.sampling import sample_exact
 from orebed.session import cut_lineage, release
@@ -22,6 +23,8 @@ from orebed.session import cut_lineage, release
 SILHOUETTE_BLOCK = 2_000  # rows on each side of one block of distances
 SILHOUETTE_TILE = 100  # rows compared with a block at once: their distances stay in the cache
 SILHOUETTE_GROUPS = 24  # groups that rows are dealt into: a row is sent this often to each side
+DIRECT_ROWS = 50_000  # rows, and
+DIRECT_SUMS = 2_000_000  # rows times clusters, up to which all pairs are compared in the plane, too
 GROUP_ROWS = 1_000_000  # rows of a group, at most about; beyond that there are more groups
 
 
@@ -203,26 +206,78 @@ def _distance_sums(rows: DataFrame, names: list[str], key: str, groups: int) ->
     return met.groupBy(key, "other").agg(F.sum("total").alias("total"))
 
 
+def _means(sums: DataFrame, sizes: DataFrame, rows: DataFrame, label: str, key: str) -> DataFrame:
+    """(key, label, a, b): mean distance to the own cluster and smallest to another, of (key, other, total)."""
+    per = sums.join(sizes, "other").join(rows.select(key, label), key)
+    inner, mean = F.col("other") == F.col(label), F.col("total") / F.col("size")
+    return per.groupBy(key, label).agg(
+        F.max(F.when(inner, F.try_divide(F.col("total"), F.col("size") - 1))).alias("a"),
+        F.min(F.when(~inner, mean)).alias("b"))
+
+
+def _plane_means(rows: DataFrame, cols: Sequence[str], label: str, key: str) -> DataFrame:
+    """``_means`` of two finite or missing coordinates by trees of cells, without comparing all pairs.
+
+    Where keys repeat or coordinates are missing, the sums to all clusters are kept and treated as there.
+    """
+    names = ["x0", "x1"]
+    # adding zero removes a negative zero, as grouping does
+    held = rows.select(
+        F.col(key).alias("_key"), F.col(label).alias("_label"),
+        *[(F.nanvl(F.col(c).cast("double"), F.lit(None)) + F.lit(0.0)).alias(x) for c, x in zip(cols, names)])
+    lost = F.col("x0").isNull() | F.col("x1").isNull()
+    of_whole = lambda x: F.when(~lost, F.col(x))
+    clusters = held.groupBy("_label").agg(
+        F.count(F.lit(1)).alias("size"), F.count_if(lost).alias("lost"), *[F.avg(of_whole(x)) for x in names],
+        *[F.var_pop(of_whole(x)) for x in names]).orderBy("_label").collect()  # one row per cluster
+    spark, kind = rows.sparkSession, dict(rows.dtypes)[label]
+    codes = F.broadcast(spark.createDataFrame(
+        [(i, c["_label"], c["size"], c["lost"] > 0) for i, c in enumerate(clusters)],
+        f"code int, _label {kind}, size long, holed boolean"))
+    numbers = np.array([[np.nan if v is None else v for v in c[3:]] for c in clusters], float)
+    coded = held.join(codes, "_label")
+    points = cut_lineage(coded.where(~lost).groupBy("code", *names).agg(F.count(F.lit(1)).alias("w")))
+    every = any(c["lost"] for c in clusters) or not (
+        held.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty())
+    found = cluster_distances(
+        points, np.array([c["size"] for c in clusters], float), numbers[:, :2], numbers[:, 2:].sum(axis=1), every)
+    release(points)
+    if not every:
+        return coded.where(F.col("_key").isNotNull()).join(found, ["code", *names]).select(
+            F.col("_key").alias(key), F.col("_label").alias(label),
+            F.try_divide(F.col("inner"), F.col("size") - 1).alias("a"), F.nanvl("outer", F.lit(None)).alias("b"))
+    others = codes.select(F.col("code").alias("other"), F.col("_label").alias("_other"), F.col("holed").alias("_holed"))
+    sums = coded.join(found, ["code", *names]).join(others, "other").where("not _holed").select("_key", "_other", "total")
+    # no sum over a missing coordinate has a value
+    blank = coded.withColumn("_lost", lost).crossJoin(others).where("_lost or _holed").select(
+        "_key", "_other", F.lit(None).cast("double").alias("total"))
+    sums = sums.unionByName(blank).groupBy(F.col("_key").alias(key), F.col("_other").alias("other")).agg(
+        F.sum("total").alias("total"))
+    return _means(sums, codes.select(F.col("_label").alias("other"), "size"), rows, label, key)
+
+
 def silhouette_samples(
     df: DataFrame, cols: Sequence[str], label: str, sample: int | None, seed: int = 42, key: str = "row_id"
 ) -> DataFrame:
     """Euclidean silhouette of each row of a seeded sample, within that sample; None takes all rows.
 
-    The measure needs all distances among the rows it looks at; it grows with
-    their square, and ``silhouette_fast`` is the linear alternative.
+    The measure needs the distances among all rows it looks at. On two columns trees of cells sum them up in
+    time that grows with the rows; on more, or few rows, every pair is compared, and ``silhouette_fast``
+    is the linear alternative.
     """
     narrow = df.select(key, label, *cols)
     rows = cut_lineage(narrow if sample is None else sample_exact(narrow, sample, seed, key))
-    n = rows.count()
-    named = rows.withColumn("_label", F.col(label))
+    n, unnamed, endless = rows.agg(
+        F.count(F.lit(1)), F.count_if(F.col(label).isNull()),
+        F.count_if(F.greatest(F.lit(0.0), *[F.nanvl(F.abs(F.col(c).cast("double")), F.lit(0.0)) for c in cols]) == float("inf")),
+    ).first()
     sizes = rows.groupBy(F.col(label).alias("other")).agg(F.count(F.lit(1)).alias("size"))
-    groups = max(1, min(SILHOUETTE_GROUPS, -(-n // SILHOUETTE_BLOCK)), -(-n // GROUP_ROWS))
-    sums = _distance_sums(named, list(cols), key, groups)
-    per = sums.join(sizes, "other").join(rows.select(key, label), key)
-    inner, mean = F.col("other") == F.col(label), F.col("total") / F.col("size")
-    both = per.groupBy(key, label).agg(
-        F.max(F.when(inner, F.try_divide(F.col("total"), F.col("size") - 1))).alias("a"),
-        F.min(F.when(~inner, mean)).alias("b"))
+    if len(cols) == 2 and not unnamed and not endless and (n > DIRECT_ROWS or n * sizes.count() > DIRECT_SUMS):
+        both = _plane_means(rows, cols, label, key)
+    else:
+        groups = max(1, min(SILHOUETTE_GROUPS, -(-n // SILHOUETTE_BLOCK)), -(-n // GROUP_ROWS))
+        sums = _distance_sums(rows.withColumn("_label", F.col(label)), list(cols), key, groups)
+        both = _means(sums, sizes, rows, label, key)
     s = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
     return both.select(key, label, F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(
         F.coalesce(s, F.lit(0.0))).alias("silhouette"))
