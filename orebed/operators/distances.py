@@ -168,7 +168,7 @@ def cell_weights(at: DataFrame, forest: Forest) -> np.ndarray:
 
     folded = own.repartition(forest.tasks, "task").groupBy("task").applyInPandas(fold, "leaf long, weights binary")
     weights = np.zeros((len(forest.code), ORDER, ORDER))
-    for row in folded.toLocalIterator():  # one row per leaf, at most about a fixed number of leaves beyond one per cluster
+    for row in folded.collect():  # one row per leaf: a bounded number beyond a few per cluster
         weights[leaves.node[row["leaf"]]] = np.frombuffer(row["weights"]).reshape(ORDER, ORDER)
     for level in np.unique(forest.level)[::-1]:
         node = np.flatnonzero((forest.level == level) & (forest.parent >= 0))
