@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -26,11 +27,12 @@ from orebed.operators.neighbors import (
     box_columns, cell_offsets, distinct_points, k_distance_knee, k_distance_points, offset_rows, point_box_sql,
     sliced_join,
 )
-from orebed.session import cut_lineage
+from orebed.session import cut_lineage, passing_tables
 
 NOISE = -1
 COMPARED_PAIRS = 4_096  # point pairs compared directly for one pair of boxes
 MAX_SPLITS = 50
+SWEEP_VALUES = 3  # values of a sweep clustered at a time
 
 
 def _names(prefix: str, dims: int) -> list[str]:
@@ -232,21 +234,27 @@ def dbscan_sweep(
 ) -> DataFrame:
     """Knee radius, regions, noise share and silhouette of clustered rows per ``min_samples``.
 
-    One neighbour search serves every value.
+    One neighbour search serves every value. A few values at a time are clustered side by side,
+    as many of their jobs are short; the tables of a value go when it is done.
     """
-    points = cut_lineage(k_distance_points(df, cols, list(values), key))
-    rows = []
-    for m in values:
-        eps = k_distance_knee(points, m).value
-        found = cut_lineage(dbscan(df, cols, eps, m, key))
-        n, regions, noise = aggregate_row(found, [
-            F.count(F.lit(1)), F.max("label") + 1, F.sum("is_noise"),
-        ])
-        quality = None
-        if regions >= 2 and n - noise > regions:
-            clustered = df.select(key, *cols).join(found.where("is_noise = 0").select(key, "label"), key)
-            quality = silhouette_exact(clustered, cols, "label", sample, seed, key).first()["silhouette"]
-        rows.append((m, eps, regions, 100.0 * noise / n, quality))
+    with passing_tables():
+        points = k_distance_points(df, cols, list(values), key)
+        radii = [k_distance_knee(points, m).value for m in values]
+
+    def measured(m: int, eps: float) -> tuple:
+        with passing_tables():
+            found = cut_lineage(dbscan(df, cols, eps, m, key))
+            n, regions, noise = aggregate_row(found, [
+                F.count(F.lit(1)), F.max("label") + 1, F.sum("is_noise"),
+            ])
+            quality = None
+            if regions >= 2 and n - noise > regions:
+                clustered = df.select(key, *cols).join(found.where("is_noise = 0").select(key, "label"), key)
+                quality = silhouette_exact(clustered, cols, "label", sample, seed, key).first()["silhouette"]
+            return m, eps, regions, 100.0 * noise / n, quality
+
+    with ThreadPoolExecutor(SWEEP_VALUES) as pool:
+        rows = list(pool.map(measured, values, radii))
     return df.sparkSession.createDataFrame(
         rows, "min_samples int, eps double, regions bigint, noise_pct double, silhouette double"
     )

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebed.operators.tiles import CODE_BITS, Forest, Held, dealt, gaps, grow, placed
+from orebed.operators.tiles import Forest, Held, dealt, finest_level, gaps, grow, placed
 from orebed.session import cut_lineage, release
 
 ORDER = 16  # interpolation places per axis
@@ -198,8 +198,8 @@ def cluster_distances(
     for row in boxes:  # one row per cluster
         counts[row[0]], width[row[0]] = row[1], max(row[3] - row[2], row[5] - row[4])
     # topmost cells are as wide as the cluster, so it spans four at most
-    tops = np.floor(np.log2(span / np.maximum(width, span / 2.0 ** (CODE_BITS // 2)))).astype(np.int64)
-    forest = grow(at, 2, lows, span, np.clip(tops, 0, CODE_BITS // 2), counts, LEAF_POINTS)
+    tops = np.floor(np.log2(span / np.maximum(width, span / 2.0 ** (finest_level(2))))).astype(np.int64)
+    forest = grow(at, 2, lows, span, np.clip(tops, 0, finest_level(2)), counts, LEAF_POINTS)
     clusters = Clusters(sizes, centres, spread2, 1e-9 * (span + float(np.abs(np.concatenate([lows, highs])).max())))
     limits = np.full(len(forest.code), np.inf) if all_sums else clusters.limits(forest)
     met = meetings(forest, clusters, limits)

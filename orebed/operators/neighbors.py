@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from orebed.functions.columns import number, squared_distance_sql
 from orebed.functions.orderstats import aggregate_row
 from orebed.operators.ranking import Knee, knee_chord
-from orebed.session import cut_lineage
+from orebed.operators.tiles import kth_distances
+from orebed.session import cut_lineage, release
 
 
 def distinct_points(df: DataFrame, cols: Sequence[str], key: str = "row_id") -> DataFrame:
@@ -202,11 +203,17 @@ def neighbor_table(df: DataFrame, cols: Sequence[str], k: int, key: str = "row_i
 
 
 def k_distance_points(df: DataFrame, cols: Sequence[str], ks: Sequence[int], key: str = "row_id") -> DataFrame:
-    """Distinct points with the distance ``kd_<k>`` to their k-th row, themselves counted."""
-    table = neighbor_table(df, cols, max(ks), key)
-    return table.groupBy("pid", "w", *[f"x{i}" for i in range(len(cols))]).agg(*[
-        F.expr(f"min(CASE WHEN covered >= {k} THEN dist END) AS kd_{k}") for k in ks
-    ])
+    """Distinct points (``w`` and x0..) with the distance ``kd_<k>`` to their k-th row, themselves counted.
+
+    Only distances come back from the tasks that compare points, no neighbours.
+    """
+    pts = cut_lineage(distinct_points(df, cols, key).drop("pid"))
+    rows = aggregate_row(pts, [F.sum("w")])[0]
+    if rows is None or rows < max(ks):
+        raise ValueError(f"{rows or 0} rows are fewer than k={max(ks)}")
+    found = kth_distances(pts, len(cols), ks)
+    release(pts)
+    return found
 
 
 def k_distance(df: DataFrame, cols: Sequence[str], k: int, key: str = "row_id") -> DataFrame:

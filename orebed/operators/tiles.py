@@ -17,12 +17,17 @@ from pyspark.sql import functions as F
 
 from orebed.session import cut_lineage, release
 
-CODE_BITS = 60  # bits of the place of a finest cell along the curve, over all axes
+CODE_BITS = 60  # bits of the place of a finest cell along the curve, over all axes, at most
+AXIS_BITS = 40  # and on one axis: a double counts the cells exactly
 TASK_POINTS = 40_000  # points of the leaves of one task, at most about
 MAX_LEAVES = 16_000  # leaves grow beyond their wanted size only to keep about this number
 PAIR_CELLS = 200_000  # distances held at once: they stay in the cache
 
 
+def finest_level(dims: int) -> int:
+    return min(AXIS_BITS, CODE_BITS // dims)
+
+
 def _interleave(cells: np.ndarray, depth: int) -> np.ndarray:
     """Place along the curve of integer cells (rows x axes), the first axis in the highest bit."""
     dims = cells.shape[1]
@@ -117,7 +122,7 @@ class Forest:
 
 def placed(points: DataFrame, dims: int, lows: Sequence[float], span: float) -> DataFrame:
     """Points (code, x0.., ...) with the ``place`` of their finest cell along the curve."""
-    depth = CODE_BITS // dims
+    depth = finest_level(dims)
     names = [f"x{i}" for i in range(dims)]
     lows = np.asarray(lows, float)
 
@@ -137,7 +142,7 @@ def grow(points: DataFrame, dims: int, lows: Sequence[float], span: float, tops:
 
     A pass counts the cells that overfull leaves are expected to need; what is still overfull goes on.
     """
-    depth, codes = CODE_BITS // dims, len(sizes)
+    depth, codes = finest_level(dims), len(sizes)
     cap = max(cap, -(-int(sizes.sum()) // MAX_LEAVES))
     more = lambda n: np.ceil(np.log2(np.maximum(n / cap, 1.0)) / dims).astype(np.int64) + (n > cap)
     empty = np.zeros(0, np.int64)

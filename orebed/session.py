@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +44,20 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_noted = threading.local()
+
+
+@contextmanager
+def passing_tables() -> Iterator[None]:
+    """Deletes at the end the tables that ``cut_lineage`` writes inside, in this thread; no later plan may read them."""
+    outer, _noted.tables = getattr(_noted, "tables", None), []
+    try:
+        yield
+    finally:
+        made, _noted.tables = _noted.tables, outer
+        release(*made)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of that table.
 
@@ -52,6 +69,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._cut_path = path
+    if getattr(_noted, "tables", None) is not None:
+        _noted.tables.append(table)
     return table
 
 

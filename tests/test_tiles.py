@@ -1,14 +1,18 @@
 """Trees of cells against brute force, over clusters of every extent, hot places, repeated keys and missing places."""
 
 import math
+import os
+from urllib.parse import urlparse
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from orebed.operators import clustering as K
+from orebed.operators import density as D
 from orebed.operators import distances as DS
+from orebed.operators import neighbors as B
 from orebed.operators import tiles as T
+from orebed.session import shared_dir
 
 
 def _silhouettes(rows):
@@ -72,3 +76,34 @@ def test_plane_silhouette_keeps_repeated_keys_and_missing_places(spark, monkeypa
     for table, want in ((df, plain), (missing, part)):
         got = {r["row_id"]: r["silhouette"] for r in K.silhouette_samples(table, ["x", "y"], "g", None).collect()}
         assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], abs_tol=1e-11) for i in want)
+
+
+def test_distances_to_the_kth_row_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(T, "TASK_POINTS", 100)
+    monkeypatch.setattr(B, "neighbor_table", None)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.uniform(size=(600, 2)), rng.normal(size=(400, 2)) * 1e-4 + 0.5, [[9e3, -5.0]] * 3, [[0.25, 0.75]] * 60])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "row_id long, x double, y double")
+    ks = [1, 7, 50]
+    got = {(r["x0"], r["x1"]): [r[f"kd_{k}"] for k in ks] for r in B.k_distance_points(df, ["x", "y"], ks).collect()}
+    assert len(got) == 1002
+    for place, found in got.items():
+        want = np.sort(np.sqrt(((x - np.array(place)) ** 2).sum(axis=1)))[[k - 1 for k in ks]]
+        assert found == want.tolist()
+
+
+def test_sweep_keeps_no_tables_and_compares_no_pairs_of_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([c + rng.normal(size=(60, 2)) * 0.2 for c in ([0, 0], [3, 0], [0, 4], [5, 5])])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "row_id long, x double, y double")
+    plain = D.dbscan_sweep(df, ["x", "y"], (4, 8)).collect()
+    monkeypatch.setattr(K, "DIRECT_ROWS", 0)
+    monkeypatch.setattr(K, "DIRECT_SUMS", 0)
+    monkeypatch.setattr(K, "_distance_sums", None)
+    place = urlparse(shared_dir(spark)).path
+    before = set(os.listdir(place))
+    trees = D.dbscan_sweep(df, ["x", "y"], (4, 8)).collect()
+    assert set(os.listdir(place)) == before
+    assert [r[:4] for r in trees] == [r[:4] for r in plain] and plain[0]["regions"] >= 2
+    for a, b in zip(trees, plain):
+        assert math.isclose(a["silhouette"], b["silhouette"], abs_tol=1e-11)
